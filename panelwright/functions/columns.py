@@ -10,6 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+MONTH_PATTERN = "^(0[1-9]|1[0-2])(?!0000)[0-9]{4}$"
+
+
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -42,6 +45,13 @@ def to_date_or_null(c: str | Column, fmt: str) -> Column:
     return F.try_to_date(col(c), fmt)
 
 
+def month_to_date(c: str | Column) -> Column:
+    """First day of a six-digit MMYYYY month; NULL for anything else."""
+    v = col(c)
+    parts = F.make_date(F.substring(v, 3, 4).cast("int"), F.substring(v, 1, 2).cast("int"), F.lit(1))
+    return F.when(v.rlike(MONTH_PATTERN), parts)
+
+
 def to_float_or_null(c: str | Column) -> Column:
     return col(c).try_cast("double")
 
@@ -151,34 +161,3 @@ def hash_fraction(key: str | Column, seed: int) -> Column:
 def modular_fraction(key: str | Column, seed: int) -> Column:
     """Like :func:`hash_fraction` for integer keys, in arithmetic any engine repeats."""
     return F.pmod((F.pmod(col(key), F.lit(1_000_003)) + seed) * 2654435761, F.lit(1_000_000)) / 1e6
-
-
-# --- short text as numbers, so that aggregation buffers keep a fixed width ---------
-
-_CODE_BITS = 7
-
-
-def pack_code(c: str | Column, width: int) -> Column:
-    """Reversible number for ASCII text of at most ``width`` (9 or fewer) characters.
-
-    The length is stored below the characters. Longer or non-ASCII text raises
-    instead of being cut.
-    """
-    if not 1 <= width <= 8:
-        raise ValueError("only 1 to 8 characters fit into one number")
-    v = col(c)
-    total = F.length(v).cast("bigint")
-    for i in range(1, width + 1):
-        total = total + F.ascii(F.substring(v, i, 1)).cast("bigint") * (1 << (4 + _CODE_BITS * (i - 1)))
-    fits = (F.length(v) <= width) & (F.octet_length(v) == F.length(v))
-    too_long = F.raise_error(F.concat(F.lit("text does not fit the declared width: "), v)).cast("bigint")
-    return F.when(v.isNull(), F.lit(None).cast("bigint")).when(fits, total).otherwise(too_long)
-
-
-def unpack_code(c: str | Column, width: int) -> Column:
-    v = col(c)
-    chars = [
-        F.chr(F.shiftright(v, 4 + _CODE_BITS * i).bitwiseAND(F.lit((1 << _CODE_BITS) - 1)))
-        for i in range(width)
-    ]
-    return F.substring(F.concat(*chars), F.lit(1), v.bitwiseAND(F.lit(15)).cast("int"))

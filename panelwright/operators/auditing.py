@@ -342,7 +342,7 @@ def cast_loss(df: DataFrame, kinds: Mapping[str, str], date_format: str = "MMyyy
     columns = [n for n, k in kinds.items() if k != "text"]
 
     def measures(n: str) -> dict[str, Column]:
-        return {"filled": F.count(n), "casted": F.count(typed(n, kinds[n], date_format))}
+        return {"filled": F.count(n), "casted": F.count(F.expr(typed(n, kinds[n], date_format)))}
 
     report = per_column(df, columns, measures).withColumn("lost", F.col("filled") - F.col("casted"))
     pct = c.percent("lost", "filled", 4)

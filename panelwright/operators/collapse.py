@@ -4,21 +4,18 @@ Everything is one ``groupBy(entity).agg(...)``: partial aggregation on the map
 side, one exchange on the entity, final aggregation. A single entity that holds a
 large share of the rows therefore reaches its reducer as one partial row per task.
 
-Spark only keeps an aggregate on its hash path while every buffer column has a
-fixed width. The ``packed`` variant turns the short text codes into reversible
-numbers first and takes the values at the first and last period with
-``min_by``/``max_by``, so the wide aggregate stays on the hash path; text that is
-too long to pack goes through a second, narrow aggregate on the same key, and the
-two results meet in a join that needs no further exchange.
+Values at the first and last period are ``min``/``max`` over (period, value)
+structs, so they do not depend on row order. Struct and text buffers put the
+aggregate on Spark's sort path. Packing the text into numbers to stay on the hash
+path was measured and was slower (README), so it is not done.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from panelwright.functions import columns as c
+from panelwright.operators.auditing import with_share
 from panelwright.spec import Last, PanelSpec
 
 
@@ -30,20 +27,19 @@ def clear_transfer_status(spec: PanelSpec) -> Column:
 
 def row_flags(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Per-month indicators that the collapse sums, maximises or minimises."""
-    base = df.withColumn("status_clean", clear_transfer_status(spec))
-    status, age = F.col("status_clean"), F.col(spec.age)
-    return base.withColumns(
-        {
-            "in_transfer": c.flag(F.col(spec.transfer) == spec.yes),
-            "behind_30": c.flag(status >= 1),
-            "behind_60": c.flag(status >= 2),
-            "behind_90": c.flag(status >= 3),
-            "behind_180": c.flag(status >= 6),
-            "in_plan": c.flag(F.col(spec.plan).isin(*spec.active_plans)),
-            "is_modified": c.flag(F.col(spec.modified) == spec.yes),
-            "first_behind_age": F.when(status >= 1, age),
-            "default_age": F.when(F.col(spec.code).isin(*spec.default_codes), age),
-        }
+    plans = ", ".join(f"'{p}'" for p in spec.active_plans)
+    codes = ", ".join(f"'{x}'" for x in spec.default_codes)
+    return df.withColumn("status_clean", clear_transfer_status(spec)).selectExpr(
+        "*",
+        f"if({spec.transfer} = '{spec.yes}', 1, 0) AS in_transfer",
+        "if(status_clean >= 1, 1, 0) AS behind_30",
+        "if(status_clean >= 2, 1, 0) AS behind_60",
+        "if(status_clean >= 3, 1, 0) AS behind_90",
+        "if(status_clean >= 6, 1, 0) AS behind_180",
+        f"if({spec.plan} IN ({plans}), 1, 0) AS in_plan",
+        f"if({spec.modified} = '{spec.yes}', 1, 0) AS is_modified",
+        f"if(status_clean >= 1, {spec.age}, NULL) AS first_behind_age",
+        f"if({spec.code} IN ({codes}), {spec.age}, NULL) AS default_age",
     )
 
 
@@ -64,88 +60,26 @@ def behaviour(spec: PanelSpec) -> list[Column]:
     ]
 
 
-def _condition(last: Last) -> Column:
-    return F.col(last.column) > 0 if last.positive else F.col(last.column).isNotNull()
+def _condition(last: Last) -> str:
+    return f"{last.column} > 0" if last.positive else f"{last.column} IS NOT NULL"
 
 
-def collapse(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Plain variant: works for any column type."""
-    static = [c.value_at_earliest(s, spec.period).alias(s) for s in spec.static]
-    last = [c.value_at_latest(x.column, spec.period, _condition(x)).alias(x.alias) for x in spec.last]
-    return row_flags(df, spec).groupBy(spec.entity).agg(*static, *behaviour(spec), *last)
+def _at(pick: str, value: str, period: str, condition: str) -> str:
+    return f"{pick}(CASE WHEN {condition} THEN struct({period} AS p, {value} AS v) END).v"
 
 
-def collapse_packed(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Same rows as :func:`collapse`, on the hash-aggregation path."""
-    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    period = F.col(spec.period)
-    packed = {n: f"packed_{n}" for n in spec.code_widths if n in text}
-    flagged = row_flags(df, spec).withColumns(
-        {alias: c.pack_code(n, spec.code_widths[n]) for n, alias in packed.items()}
-    )
-
-    def narrow(name: str) -> bool:
-        return name not in text or name in packed
-
-    def source(name: str) -> Column:
-        return F.col(packed.get(name, name))
-
+def collapse(df: DataFrame, spec: PanelSpec) -> DataFrame:
     static = [
-        F.min_by(source(s), F.when(source(s).isNotNull(), period)).alias(s)
-        for s in spec.static
-        if narrow(s)
+        F.expr(_at("min", s, spec.period, f"{s} IS NOT NULL")).alias(s) for s in spec.static
     ]
     last = [
-        F.max_by(source(x.column), F.when(_condition(x), period)).alias(x.alias)
-        for x in spec.last
-        if narrow(x.column)
+        F.expr(_at("max", x.column, spec.period, _condition(x))).alias(x.alias) for x in spec.last
     ]
-    wide = flagged.groupBy(spec.entity).agg(*static, *behaviour(spec), *last)
-
-    long_static = [s for s in spec.static if not narrow(s)]
-    long_last = [x for x in spec.last if not narrow(x.column)]
-    if long_static or long_last:
-        side = [c.value_at_earliest(s, spec.period).alias(s) for s in long_static]
-        side += [
-            c.value_at_latest(x.column, spec.period, _condition(x)).alias(x.alias) for x in long_last
-        ]
-        sources = [*long_static, *(x.column for x in long_last)]
-        rows = df.na.drop(how="all", subset=sources)
-        wide = wide.join(rows.groupBy(spec.entity).agg(*side), spec.entity, "left")
-
-    unpack = {s: spec.code_widths[s] for s in spec.static if s in packed}
-    unpack |= {x.alias: spec.code_widths[x.column] for x in spec.last if x.column in packed}
-    order = [
-        spec.entity,
-        *spec.static,
-        *(n for n in wide.columns if n in _BEHAVIOUR),
-        *(x.alias for x in spec.last),
-    ]
-    return wide.select(
-        *[c.unpack_code(n, unpack[n]).alias(n) if n in unpack else F.col(n) for n in order]
-    )
-
-
-_BEHAVIOUR = (
-    "max_delinquency_status",
-    "months_delinquent_30plus",
-    "months_delinquent_60plus",
-    "months_delinquent_90plus",
-    "ever_modified",
-    "had_forbearance",
-    "loan_duration_months",
-    "time_to_first_delinquency",
-    "had_servicing_transfer",
-    "ever_d90",
-    "ever_d180",
-    "time_to_default",
-)
+    return row_flags(df, spec).groupBy(spec.entity).agg(*static, *behaviour(spec), *last)
 
 
 def distribution(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """Count and share per value, most frequent first."""
-    from panelwright.operators.auditing import with_share
-
     counts = with_share(df.groupBy(column).agg(F.count("*").alias("n")), "n", "pct")
     ordered = counts.orderBy(F.desc("n"), F.asc_nulls_first(column))
     return ordered.limit(top) if top else ordered

@@ -232,18 +232,6 @@ PANEL = PanelSpec(
     ),
     active_plans=("F", "R", "T", "O"),
     default_codes=DEFAULT_CODES,
-    code_widths={
-        "acquisition_quarter": 6,
-        "channel": 1,
-        "first_time_buyer": 1,
-        "loan_purpose": 1,
-        "property_type": 2,
-        "occupancy_status": 1,
-        "property_state": 2,
-        "mi_type": 1,
-        "high_balance_loan_indicator": 1,
-        "zero_balance_code": 2,
-    },
 )
 
 RISK = RiskRules(

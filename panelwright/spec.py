@@ -111,8 +111,6 @@ class PanelSpec:
     active_plans: tuple[str, ...]
     default_codes: tuple[str, ...]
     yes: str = "Y"
-    # widest value of each short text column the collapse may pack into a number
-    code_widths: Mapping[str, int] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)

@@ -14,13 +14,8 @@ book = Book()
 SPEC = mortgage.PANEL
 
 
-@book.query("c01_collapse_loans", f"WITH {fx.loans_cte()} SELECT * FROM loans")
+@book.query("c01_c10_collapse_loans", f"WITH {fx.loans_cte()} SELECT * FROM loans")
 def c01(spark, sf):
-    return collapse.collapse_packed(fx.silver(spark, sf), SPEC)
-
-
-@book.query("c02_collapse_loans_plain", f"WITH {fx.loans_cte()} SELECT * FROM loans")
-def c02(spark, sf):
     return collapse.collapse(fx.silver(spark, sf), SPEC)
 
 

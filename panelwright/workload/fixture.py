@@ -204,7 +204,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _aggregate(df: DataFrame, keys: dict[str, str], aggregates: dict[str, str]) -> DataFrame:
-    keyed = df.withColumns({n: F.expr(e) for n, e in keys.items()})
+    keyed = df.selectExpr("*", *[f"{e} AS {n}" for n, e in keys.items()])
     return keyed.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in aggregates.items()])
 
 
@@ -213,15 +213,14 @@ def months(spark: SparkSession, sf_dir: str) -> DataFrame:
     with very many lines enters it as a handful of rows."""
     lines = _aggregate(read(spark, sf_dir, "lineitem"), LINE_KEYS, LINE_AGGREGATES)
     heads = _aggregate(read(spark, sf_dir, "orders"), {"k": "o_orderkey"}, ORDER_AGGREGATES)
-    return lines.join(heads, "k").withColumns({n: F.expr(e) for n, e in MONTHS.items()})
+    return lines.join(heads, "k").selectExpr("*", *[f"{e} AS {n}" for n, e in MONTHS.items()])
 
 
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw text record of 110 fields plus the acquisition quarter."""
     names = mortgage.CLEAN.raw_names
-    return months(spark, sf_dir).select(
-        *[F.expr(raw_field(n)).alias(n) for n in names],
-        F.expr(QUARTER_SQL).alias(mortgage.QUARTER),
+    return months(spark, sf_dir).selectExpr(
+        *[f"{raw_field(n)} AS {n}" for n in names], f"{QUARTER_SQL} AS {mortgage.QUARTER}"
     )
 
 
@@ -230,7 +229,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collapse.collapse_packed(silver(spark, sf_dir), mortgage.PANEL)
+    return collapse.collapse(silver(spark, sf_dir), mortgage.PANEL)
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
