@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.workload import collapse
 
-CHAPTERS = ("cleaning", "collapse")
+CHAPTERS = ("cleaning", "collapse", "ingest", "joins")
 
 
 def _books():
