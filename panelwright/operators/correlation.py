@@ -173,7 +173,7 @@ def bartlett(matrix: np.ndarray, n: int) -> tuple[float, int, float]:
     _, logdet = np.linalg.slogdet(matrix)
     chi2 = -(n - 1 - (2 * p + 5) / 6) * logdet
     df = p * (p - 1) // 2
-    return float(chi2), df, stats.chi2_sf(chi2, df)
+    return float(chi2), df, float(stats.chi2_sf(float(chi2), df))
 
 
 def factorability(spark: SparkSession, matrix: np.ndarray, n: int, columns: Sequence[str]) -> DataFrame:

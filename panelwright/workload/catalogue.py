@@ -9,7 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.workload import collapse
 
-CHAPTERS = ("cleaning", "collapse", "ingest", "joins")
+CHAPTERS = (
+    "cleaning",
+    "collapse",
+    "ingest",
+    "joins",
+    "audits",
+    "sampling",
+    "features",
+    "embedding",
+    "clusters",
+    "profiles",
+)
 
 
 def _books():

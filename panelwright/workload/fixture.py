@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from panelwright.operators import cleaning, collapse, risk
 from panelwright.presets import mortgage
+from panelwright.session import scratch_folder
 
 # --- one row per order and shipping month ------------------------------------------
 
@@ -65,12 +66,14 @@ def _text(x: str) -> str:
 
 
 def _history() -> str:
-    codes = [
-        f"CASE WHEN (k + pm + {i}) % 11 = 0 THEN 'XX' WHEN (k + pm + {i}) % 13 = 0 THEN '  ' "
-        f"ELSE lpad(cast(((k + pm) * {i}) % 12 as string), 2, '0') END"
-        for i in range(1, 25)
-    ]
-    return f"CASE WHEN k % 3 = 0 OR pm % 5 = 0 THEN '' ELSE concat({', '.join(codes)}) END"
+    """24 consecutive two-character codes out of a fixed cycle; blank for some months."""
+    cycle = "".join(
+        "XX" if i % 11 == 0 else "  " if i % 13 == 0 else f"{(i * i) % (1 + i // 6):02d}" for i in range(64)
+    )
+    return (
+        "CASE WHEN k % 3 = 0 OR pm % 5 = 0 THEN '' "
+        f"ELSE substr('{cycle}', 2 * cast((k + pm) % 40 as int) + 1, 48) END"
+    )
 
 
 _CODE = (
@@ -236,6 +239,20 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk.derive(loans(spark, sf_dir), mortgage.RISK)
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
+def loan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loan table, written once per session to the shared scratch folder and read
+    from there, as the reports and models do that use it many times."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        folder = scratch_folder(spark, "loans")
+        gold(spark, sf_dir).write.parquet(folder)
+        _stored[key] = folder
+    return spark.read.parquet(_stored[key])
+
+
 # --- DuckDB side --------------------------------------------------------------------
 
 

@@ -44,7 +44,7 @@ def j02(spark, sf):
     "WHERE lph_available = 1",
 )
 def j03(spark, sf):
-    loans = joins.normalise_key(fx.gold(spark, sf), "loan_id", "id")
+    loans = joins.normalise_key(fx.loan_table(spark, sf), "loan_id", "id")
     return joins.align(
         [
             loans.select("id", "stratum"),
@@ -61,7 +61,7 @@ def j03(spark, sf):
     "(SELECT loan_id, property_state FROM gold WHERE is_default = 1) s ON g.loan_id = s.loan_id",
 )
 def j04(spark, sf):
-    loans = fx.gold(spark, sf)
+    loans = fx.loan_table(spark, sf)
     states = loans.where(F.col("is_default") == 1).select("loan_id", "property_state")
     return loans.select("loan_id", "stratum").join(states, "loan_id", "left")
 
@@ -76,7 +76,7 @@ _BLOCKS = (["dti", "orig_ltv"], ["ph_max_delinquency_24"], ["origination_year",
     "ph_max_delinquency_24 IS NOT NULL AND origination_year IS NOT NULL AND mi_percentage IS NOT NULL",
 )
 def j05(spark, sf):
-    loans = fx.gold(spark, sf)
+    loans = fx.loan_table(spark, sf)
     return joins.align([loans.select("loan_id", *b).na.drop() for b in _BLOCKS], "loan_id")
 
 
@@ -124,7 +124,7 @@ def u02(spark, sf):
     "SELECT loan_id FROM gold WHERE lph_available = 1",
 )
 def u03(spark, sf):
-    loans = fx.gold(spark, sf)
+    loans = fx.loan_table(spark, sf)
     return (
         loans.where("dti IS NOT NULL").select("loan_id").intersect(loans.where("lph_available = 1").select("loan_id"))
     )
@@ -136,7 +136,7 @@ def u03(spark, sf):
     "SELECT loan_id FROM gold WHERE is_default = 1",
 )
 def u04(spark, sf):
-    loans = fx.gold(spark, sf)
+    loans = fx.loan_table(spark, sf)
     late, gone = (loans.where(x).select("loan_id") for x in ("ever_d90 = 1", "is_default = 1"))
     return late.exceptAll(gone)
 
