@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from panelwright.functions import stats
 from panelwright.operators import ranking
 from panelwright.operators.cleaning import complete_cases
+from panelwright.session import stored
 
 PAIRWISE_LIMIT = 12
 
@@ -56,6 +57,7 @@ def ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = complete_cases(df.select(*[F.col(n).cast("double").alias(n) for n in columns]), columns)
     counts = ranking.value_counts(ranking.melt(rows, columns), ["column"])
     places = ranking.with_positions(counts, ["column"]).withColumn("rank", ranking.mid_rank())
+    places = stored(places, "ranks")
     out = rows
     for n in columns:
         table = places.where(F.col("column") == n).select("value", "n", "rank")

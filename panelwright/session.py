@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # projections of more columns than this are compiled in parts small enough for the JIT
+    "spark.sql.codegen.maxFields": "60",
     # building wide column lists is several times faster without call-site capture
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -42,3 +44,11 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="panelwright-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame that is read many times to the scratch folder and read it back.
+    Unlike a cache, the result outlives the executors that computed it."""
+    folder = scratch_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
