@@ -63,23 +63,37 @@ def maximum_likelihood(matrix: np.ndarray, k: int, rounds: int = 2000, tol: floa
     return (load * sign)[:, order].reshape(p, k)
 
 
-def oblimin(load: np.ndarray, rounds: int = 500, tol: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
-    """Oblique quartimin rotation by gradient projection; pattern and factor correlations."""
+def oblimin(load: np.ndarray, starts: int = 6, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Oblique quartimin rotation; pattern and factor correlations.
+
+    The identity can be a saddle point of the criterion, so some random orthogonal
+    starts are tried as well and the smallest criterion wins.
+    """
     k = load.shape[1]
     if k == 1:
         return load, np.eye(1)
-    mix = 1 - np.eye(k)
+    rng = np.random.default_rng(seed)
+    begin = [np.eye(k)] + [np.linalg.qr(rng.normal(size=(k, k)))[0] for _ in range(starts)]
+    _, pattern, turn = min((_rotate(load, t) for t in begin), key=lambda found: found[0])
+    sign = np.where(pattern.sum(0) < 0, -1.0, 1.0)
+    return pattern * sign, (turn.T @ turn) * np.outer(sign, sign)
+
+
+def _rotate(
+    load: np.ndarray, turn: np.ndarray, rounds: int = 500, tol: float = 1e-6
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Gradient projection from one start."""
+    mix = 1 - np.eye(load.shape[1])
 
     def value(pattern: np.ndarray) -> tuple[float, np.ndarray]:
         square = pattern**2
         return float((square * (square @ mix)).sum() / 4), pattern * (square @ mix)
 
-    turn, step = np.eye(k), 1.0
+    step = 1.0
     pattern = load @ np.linalg.inv(turn).T
     f, gradient = value(pattern)
     for _ in range(rounds):
-        inverse = np.linalg.inv(turn)
-        slope = -(pattern.T @ gradient @ inverse).T
+        slope = -(pattern.T @ gradient @ np.linalg.inv(turn)).T
         tangent = slope - turn * (turn * slope).sum(0)
         size = np.sqrt((tangent**2).sum())
         if size < tol:
@@ -88,13 +102,13 @@ def oblimin(load: np.ndarray, rounds: int = 500, tol: float = 1e-6) -> tuple[np.
         for _ in range(20):
             trial = turn - step * tangent
             trial = trial / np.sqrt((trial**2).sum(0))
-            new_pattern = load @ np.linalg.inv(trial).T
-            new_f, new_gradient = value(new_pattern)
-            if new_f < f - 0.5 * size**2 * step:
+            trial_pattern = load @ np.linalg.inv(trial).T
+            trial_f, trial_gradient = value(trial_pattern)
+            if trial_f < f - 0.5 * size**2 * step:
                 break
             step /= 2
-        turn, pattern, f, gradient = trial, new_pattern, new_f, new_gradient
-    return pattern, turn.T @ turn
+        turn, pattern, f, gradient = trial, trial_pattern, trial_f, trial_gradient
+    return f, pattern, turn
 
 
 @dataclass(frozen=True)
