@@ -7,17 +7,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULTS = {
+# settings that can be changed on a running session
+RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # projections of more columns than this are compiled in parts small enough for the JIT
-    "spark.sql.codegen.maxFields": "60",
+    # the JVM does not compile methods above 8000 bytes of bytecode; a projection or
+    # aggregate that would need one is generated in smaller parts instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.codegen.maxFields": "30",
+}
+STATIC = {
     # building wide column lists is several times faster without call-site capture
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -27,11 +30,19 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in (DEFAULTS | conf).items():
+    for key, value in (RUNTIME | STATIC | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session somebody else has built."""
+    for key, value in RUNTIME.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 

@@ -23,7 +23,7 @@ STATUS, PLAN, MOVED = "current_delinquency_status", "borrower_assistance_plan",
 
 
 def _raw(spark, sf):
-    return fx.raw_panel(spark, sf)
+    return fx.bronze_table(spark, sf)
 
 
 def _period():
@@ -45,7 +45,7 @@ def _blank(n: str) -> str:
     "round(count(*) / count(DISTINCT loan_id), 4) AS periods_per_entity FROM silver",
 )
 def a01(spark, sf):
-    return auditing.size(fx.silver(spark, sf), "loan_id")
+    return auditing.size(fx.silver_table(spark, sf), "loan_id")
 
 
 def _profile_row(n: str) -> str:
@@ -189,7 +189,7 @@ def a11(spark, sf):
     f"WITH {fx.silver_cte()} SELECT count(*) AS rows, count(*) AS keys, 0 AS duplicates, 0.0 AS pct_duplicates FROM silver",
 )
 def a11_panel(spark, sf):
-    return auditing.key_uniqueness(fx.silver(spark, sf), KEY)
+    return auditing.key_uniqueness(fx.silver_table(spark, sf), KEY)
 
 
 @book.query(
@@ -409,7 +409,7 @@ _DESCRIBED = "borrower_credit_score orig_ltv dti orig_interest_rate orig_upb cur
     ),
 )
 def a24(spark, sf):
-    stats = profiles.describe(fx.silver(spark, sf), _DESCRIBED)
+    stats = profiles.describe(fx.silver_table(spark, sf), _DESCRIBED)
     rounded = {n: F.round(n, 4) for n in ("mean", "stddev", "p25", "p50", "p75")}
     return stats.withColumns(rounded)
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import wraps
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelwright.session import tune
 from panelwright.workload import collapse
+from panelwright.workload.book import Run
 
 CHAPTERS = (
     "cleaning",
@@ -27,8 +29,16 @@ def _books():
     return [import_module(f"panelwright.workload.{name}").book for name in CHAPTERS]
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: run for book in _books() for name, run in book.runs.items()}
+def _tuned(run: Run) -> Run:
+    @wraps(run)
+    def call(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return run(tune(spark), sf_dir)
+
+    return call
+
+
+def queries() -> dict[str, Run]:
+    return {name: _tuned(run) for book in _books() for name, run in book.runs.items()}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -36,4 +46,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collapse.cells(spark, sf_dir)
+    return collapse.cells(tune(spark), sf_dir)

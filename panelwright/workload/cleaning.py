@@ -16,11 +16,11 @@ RULES = mortgage.CLEAN
 
 
 def _raw(spark, sf):
-    return fx.raw_panel(spark, sf)
+    return fx.bronze_table(spark, sf)
 
 
 def _text(spark, sf):
-    return cleaning.clean_text(fx.raw_panel(spark, sf), RULES)
+    return cleaning.clean_text(fx.bronze_table(spark, sf), RULES)
 
 
 @book.query(
@@ -113,7 +113,7 @@ def p08(spark, sf):
 
 @book.query("p10_silver_panel", f"WITH {fx.silver_cte()} SELECT * FROM silver")
 def p10(spark, sf):
-    return cleaning.enforce(fx.silver(spark, sf), RULES)
+    return cleaning.enforce(cleaning.clean(_raw(spark, sf), RULES), RULES)
 
 
 @book.query(
@@ -123,7 +123,7 @@ def p10(spark, sf):
 )
 def p11(spark, sf):
     return cleaning.preview(
-        fx.silver(spark, sf), mortgage.QUARTER, "2005Q1", [*KEY, "orig_upb"], rows=5
+        fx.silver_table(spark, sf), mortgage.QUARTER, "2005Q1", [*KEY, "orig_upb"], rows=5
     )
 
 
@@ -146,7 +146,7 @@ FROM flagged"""
 
 @book.query("p12_p15_row_flags", f"WITH {fx.loans_cte()} {_FLAG_SQL}")
 def p12(spark, sf):
-    return collapse.row_flags(fx.silver(spark, sf), mortgage.PANEL).select(*KEY, *_FLAGS)
+    return collapse.row_flags(fx.silver_table(spark, sf), mortgage.PANEL).select(*KEY, *_FLAGS)
 
 
 @book.query(
@@ -155,7 +155,7 @@ def p12(spark, sf):
     "WHERE dti IS NOT NULL AND orig_ltv IS NOT NULL AND mi_percentage IS NOT NULL",
 )
 def p16(spark, sf):
-    panel = fx.silver(spark, sf)
+    panel = fx.silver_table(spark, sf)
     return cleaning.complete_cases(panel, ["dti", "orig_ltv", "mi_percentage"]).select(
         *KEY, "dti", "orig_ltv"
     )
@@ -169,7 +169,7 @@ def p16(spark, sf):
 )
 def p17(spark, sf):
     kept = cleaning.plausible(
-        fx.silver(spark, sf),
+        fx.silver_table(spark, sf),
         between={"borrower_credit_score": (300, 850), "dti": (0, 65), "orig_ltv": (1, 97)},
         above={"orig_upb": 1000},
     )

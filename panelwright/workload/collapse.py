@@ -16,7 +16,7 @@ SPEC = mortgage.PANEL
 
 @book.query("c01_c10_collapse_loans", f"WITH {fx.loans_cte()} SELECT * FROM loans")
 def c01(spark, sf):
-    return collapse.collapse(fx.silver(spark, sf), SPEC)
+    return collapse.collapse(fx.silver_table(spark, sf), SPEC)
 
 
 @book.query(
@@ -27,7 +27,7 @@ def c01(spark, sf):
     "AS last_balance FROM silver GROUP BY 1",
 )
 def c03(spark, sf):
-    return fx.silver(spark, sf).groupBy("loan_id").agg(
+    return fx.silver_table(spark, sf).groupBy("loan_id").agg(
         c.value_at_latest("servicer_name", SPEC.period).alias("last_servicer"),
         c.value_at_latest("current_actual_upb", SPEC.period, F.col("current_actual_upb") > 0).alias(
             "last_balance"
@@ -45,17 +45,17 @@ def _distribution_sql(column: str, limit: str = "") -> str:
 
 @book.query("c11_default_distribution", _distribution_sql("is_default"))
 def c11_default(spark, sf):
-    return collapse.distribution(fx.gold(spark, sf), "is_default")
+    return collapse.distribution(fx.loan_table(spark, sf), "is_default")
 
 
 @book.query("c11_final_code_top10", _distribution_sql("final_zero_balance_code", "LIMIT 10"))
 def c11_codes(spark, sf):
-    return collapse.distribution(fx.gold(spark, sf), "final_zero_balance_code", top=10)
+    return collapse.distribution(fx.loan_table(spark, sf), "final_zero_balance_code", top=10)
 
 
 @book.query("c11_stratum_distribution", _distribution_sql("stratum"))
 def c11_stratum(spark, sf):
-    return collapse.distribution(fx.gold(spark, sf), "stratum")
+    return collapse.distribution(fx.loan_table(spark, sf), "stratum")
 
 
 _CELLS = (
@@ -88,7 +88,7 @@ _DERIVED = (
     + " FROM gold",
 )
 def d01(spark, sf):
-    loans = fx.loans(spark, sf)
+    loans = collapse.collapse(fx.silver_table(spark, sf), SPEC)
     derived = risk.strata(risk.losses(risk.outcomes(loans, mortgage.RISK), mortgage.RISK), mortgage.RISK)
     return derived.select("loan_id", *_DERIVED, *[F.round(m, 4).alias(m) for m in _MONEY])
 
@@ -101,7 +101,7 @@ def d01(spark, sf):
 def d12(spark, sf):
     period = SPEC.period
     history = (
-        fx.silver(spark, sf)
+        fx.silver_table(spark, sf)
         .groupBy("loan_id")
         .agg(c.value_at_latest("loan_payment_history", period).alias("last_loan_payment_history"))
     )
@@ -119,7 +119,7 @@ _SKEW = ["log_upb", "sqrt_months_30plus", "sqrt_months_90plus"]
     "least(max_delinquency_status, 12) AS capped_status, orig_cltv - orig_ltv AS ltv_gap FROM gold",
 )
 def d17(spark, sf):
-    out = risk.skew_transforms(fx.loans(spark, sf))
+    out = risk.skew_transforms(fx.loan_table(spark, sf))
     return out.select(
         "loan_id", *[F.round(n, 6).alias(n) for n in _SKEW], "capped_status", "ltv_gap"
     )
@@ -132,11 +132,11 @@ def _subset_sql(columns: list[str]) -> str:
 
 @book.query("p19_subset_a_contract", _subset_sql(mortgage.SUBSET_A))
 def p19a(spark, sf):
-    rows = cleaning.contract(fx.gold(spark, sf), mortgage.SUBSET_A)
+    rows = cleaning.contract(fx.loan_table(spark, sf), mortgage.SUBSET_A)
     return rows.withColumns({m: F.round(m, 4) for m in _MONEY if m in rows.columns})
 
 
 @book.query("p19_subset_b_contract", _subset_sql(mortgage.SUBSET_B))
 def p19b(spark, sf):
-    rows = cleaning.contract(fx.gold(spark, sf), mortgage.SUBSET_B)
+    rows = cleaning.contract(fx.loan_table(spark, sf), mortgage.SUBSET_B)
     return rows.withColumns({m: F.round(m, 4) for m in _MONEY if m in rows.columns})

@@ -7,6 +7,8 @@ the input of the oracle queries.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,20 +241,37 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk.derive(loans(spark, sf_dir), mortgage.RISK)
 
 
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple[str, str, str], str] = {}
 
 
-def loan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loan table, written once per session to the shared scratch folder and read
-    from there, as the reports and models do that use it many times."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage of the flow, written once per session to the shared scratch folder and
+    read from there by everything that follows, as in production."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        folder = scratch_folder(spark, "loans")
-        gold(spark, sf_dir).write.parquet(folder)
+        folder = scratch_folder(spark, name)
+        build().write.parquet(folder)
         _stored[key] = folder
     return spark.read.parquet(_stored[key])
 
 
+def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "bronze", lambda: raw_panel(spark, sf_dir))
+
+
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = mortgage.CLEAN
+    return _table(spark, sf_dir, "silver", lambda: cleaning.clean(bronze_table(spark, sf_dir), rules))
+
+
+def loan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build() -> DataFrame:
+        panel = collapse.collapse(silver_table(spark, sf_dir), mortgage.PANEL)
+        return risk.derive(panel, mortgage.RISK)
+
+    return _table(spark, sf_dir, "loans", build)
+
+
 # --- DuckDB side --------------------------------------------------------------------
 
 

@@ -25,7 +25,7 @@ def raw_folder(spark, sf):
     key = ("raw", spark.sparkContext.applicationId, sf)
     if key not in _written:
         folder = scratch_folder(spark, "raw")
-        writer = fx.raw_panel(spark, sf).write.partitionBy(Q)
+        writer = fx.bronze_table(spark, sf).write.partitionBy(Q)
         writer.option("sep", "|").option("emptyValue", "").csv(folder)
         _written[key] = folder
     return _written[key]
@@ -35,7 +35,7 @@ def silver_folder(spark, sf):
     key = ("silver", spark.sparkContext.applicationId, sf)
     if key not in _written:
         folder = scratch_folder(spark, "silver")
-        sinks.overwrite_partitioned(fx.silver(spark, sf), folder, [Q])
+        sinks.overwrite_partitioned(fx.silver_table(spark, sf), folder, [Q])
         _written[key] = folder
     return _written[key]
 
@@ -154,7 +154,7 @@ _EXPORT = ["loan_id", Q, "stratum", "vintage_bin", "final_zero_balance_code", "o
 @book.query("s10_header_csv_with_schema", f"WITH {fx.gold_cte()} SELECT {', '.join(_EXPORT)} FROM gold")
 def s10(spark, sf):
     path = scratch_folder(spark, "export")
-    loans = fx.gold(spark, sf).select(*_EXPORT)
+    loans = fx.loan_table(spark, sf).select(*_EXPORT)
     sinks.export_csv(loans, path)
     return records.read_records(spark, path, loans.schema, sep=",", header=True)
 
@@ -167,7 +167,7 @@ def s10(spark, sf):
 def s11(spark, sf):
     path = scratch_folder(spark, "lines")
     names = RULES.raw_names
-    raw = fx.raw_panel(spark, sf)
+    raw = fx.bronze_table(spark, sf)
     short = F.col("loan_id").cast("bigint") % 101 == 0
     line = F.when(short, F.concat_ws("|", *names[:-1])).otherwise(F.concat_ws("|", *names))
     raw.select(line.alias("value")).write.text(path)
@@ -203,7 +203,7 @@ def s13(spark, sf):
 @book.query("k01_partitioned_append", _BY_QUARTER)
 def k01(spark, sf):
     path = scratch_folder(spark, "append")
-    sinks.append_partitioned(fx.raw_panel(spark, sf).select("loan_id", "msa", Q), path, [Q])
+    sinks.append_partitioned(fx.bronze_table(spark, sf).select("loan_id", "msa", Q), path, [Q])
     return _by_quarter(spark.read.parquet(path))
 
 
@@ -211,7 +211,7 @@ def k01(spark, sf):
 def k02(spark, sf):
     """Written twice and once more for some quarters only: the rows stay the same."""
     path = scratch_folder(spark, "overwrite")
-    rows = fx.raw_panel(spark, sf).select("loan_id", "msa", Q)
+    rows = fx.bronze_table(spark, sf).select("loan_id", "msa", Q)
     sinks.overwrite_partitioned(rows, path, [Q])
     sinks.overwrite_partitioned(rows, path, [Q])
     sinks.overwrite_partitioned(rows.where(F.col(Q) < "2000"), path, [Q], dynamic=True)
@@ -225,7 +225,7 @@ def k02(spark, sf):
 )
 def k03(spark, sf):
     path = scratch_folder(spark, "two-level")
-    keyed = fx.raw_panel(spark, sf).select(
+    keyed = fx.bronze_table(spark, sf).select(
         "loan_id", F.substring(Q, 1, 4).cast("int").alias("year"), F.substring(Q, 6, 1).cast("int").alias("quarter")
     )
     sinks.overwrite_partitioned(keyed, path, ["year", "quarter"])
@@ -235,7 +235,7 @@ def k03(spark, sf):
 @book.query("k04_fixed_file_count", f"WITH {fx.gold_cte()} SELECT count(*) AS n, 4 AS files FROM gold")
 def k04(spark, sf):
     path = scratch_folder(spark, "four-files")
-    sinks.write_files(fx.gold(spark, sf).select("loan_id", "stratum"), path, 4)
+    sinks.write_files(fx.loan_table(spark, sf).select("loan_id", "stratum"), path, 4)
     files = listing.list_files(spark, path, "*.parquet").select(F.count("*").cast("int")).scalar()
     return spark.read.parquet(path).agg(F.count("*").alias("n")).withColumn("files", files)
 
@@ -243,7 +243,7 @@ def k04(spark, sf):
 @book.query("k05_single_csv", f"WITH {fx.gold_cte()} SELECT count(*) AS n, 1 AS files FROM gold")
 def k05(spark, sf):
     path = scratch_folder(spark, "one-csv")
-    loans = fx.gold(spark, sf).select("loan_id", "stratum")
+    loans = fx.loan_table(spark, sf).select("loan_id", "stratum")
     sinks.export_csv(loans, path)
     files = listing.list_files(spark, path, "*.csv").select(F.count("*").cast("int")).scalar()
     back = records.read_records(spark, path, loans.schema, sep=",", header=True)
@@ -256,7 +256,7 @@ def k05(spark, sf):
 )
 def k07(spark, sf):
     path = scratch_folder(spark, "capped")
-    sinks.write_capped(fx.raw_panel(spark, sf).select("loan_id", Q), path)
+    sinks.write_capped(fx.bronze_table(spark, sf).select("loan_id", Q), path)
     return spark.read.parquet(path).agg(F.count("*").alias("n"))
 
 

@@ -19,7 +19,7 @@ Q = mortgage.QUARTER
     "SELECT property_state, count(*) AS n FROM silver WHERE loan_id IN (SELECT loan_id FROM picked) GROUP BY 1",
 )
 def j01(spark, sf):
-    panel = fx.silver(spark, sf)
+    panel = fx.silver_table(spark, sf)
     picked = panel.where(F.col("modification_flag") == "Y").select("loan_id").distinct()
     kept = joins.rows_of(panel, picked, "loan_id")
     return kept.groupBy("property_state").agg(F.count("*").alias("n"))
@@ -32,7 +32,7 @@ def j01(spark, sf):
     "SELECT loan_id, age, months FROM a JOIN b USING (loan_id)",
 )
 def j02(spark, sf):
-    panel = fx.silver(spark, sf)
+    panel = fx.silver_table(spark, sf)
     a = panel.groupBy("loan_id").agg(F.max("loan_age").alias("age"))
     b = panel.where(F.col("modification_flag") == "Y").groupBy("loan_id").agg(F.count("*").alias("months"))
     return a.join(b, "loan_id")
@@ -86,7 +86,7 @@ def j05(spark, sf):
     f"(SELECT {Q} FROM silver WHERE property_state = 'CA' AND modification_flag = 'Y')",
 )
 def j06(spark, sf):
-    panel = fx.silver(spark, sf)
+    panel = fx.silver_table(spark, sf)
     done = panel.where("property_state = 'CA' AND modification_flag = 'Y'").select(Q).distinct()
     return joins.rows_without(panel.select(Q).distinct(), done, [Q])
 
@@ -98,7 +98,7 @@ def j06(spark, sf):
     f"WHERE {Q} >= '2005' GROUP BY 2",
 )
 def u01(spark, sf):
-    panel = fx.silver(spark, sf)
+    panel = fx.silver_table(spark, sf)
 
     def counts(name, rows):
         return rows.groupBy("property_state").agg(F.count("*").alias("n")).select(
@@ -115,7 +115,7 @@ def u01(spark, sf):
     f"WITH {fx.silver_cte()} SELECT DISTINCT channel, loan_purpose, occupancy_status FROM silver",
 )
 def u02(spark, sf):
-    return fx.silver(spark, sf).select("channel", "loan_purpose", "occupancy_status").distinct()
+    return fx.silver_table(spark, sf).select("channel", "loan_purpose", "occupancy_status").distinct()
 
 
 @book.query(
@@ -148,7 +148,7 @@ def u04(spark, sf):
 )
 def o01(spark, sf):
     history = "loan_payment_history"
-    counts = fx.silver(spark, sf).where(F.col(history).isNotNull()).groupBy(history).agg(F.count("*").alias("n"))
+    counts = fx.silver_table(spark, sf).where(F.col(history).isNotNull()).groupBy(history).agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), history).limit(10)
 
 
@@ -161,7 +161,7 @@ def o01(spark, sf):
 )
 def o02(spark, sf):
     status = F.trim("current_delinquency_status").alias("status")
-    counts = fx.raw_panel(spark, sf).groupBy(status).agg(F.count("*").alias("n"))
+    counts = fx.bronze_table(spark, sf).groupBy(status).agg(F.count("*").alias("n"))
     order = F.when(F.col("status") == "XX", 999).otherwise(F.col("status").try_cast("int"))
     return auditing.with_share(counts, "n", "pct", 3).orderBy(order).limit(15)
 
@@ -171,4 +171,4 @@ def o02(spark, sf):
     f"WITH {fx.silver_cte()} SELECT DISTINCT {Q} FROM silver ORDER BY 1",
 )
 def o03(spark, sf):
-    return fx.silver(spark, sf).select(Q).distinct().orderBy(Q)
+    return fx.silver_table(spark, sf).select(Q).distinct().orderBy(Q)

@@ -37,7 +37,7 @@ fractions AS (SELECT *, least(cast(cell_target as double) / n, 1.0) AS fraction
 
 @book.query("o04_bernoulli_sample")
 def o04(spark, sf):
-    return sampling.bernoulli(fx.silver(spark, sf).select("loan_id", "orig_upb"), 0.05, 42)
+    return sampling.bernoulli(fx.silver_table(spark, sf).select("loan_id", "orig_upb"), 0.05, 42)
 
 
 @book.query(
@@ -56,7 +56,7 @@ def o05(spark, sf):
 
 @book.query("o06_entity_sample")
 def o06(spark, sf):
-    return sampling.entity_sample(fx.silver(spark, sf), "loan_id", 2000, 42)
+    return sampling.entity_sample(fx.silver_table(spark, sf), "loan_id", 2000, 42)
 
 
 def _fractions(loans):
@@ -101,7 +101,7 @@ def o09(spark, sf):
 
 @book.query("o10_random_split")
 def o10(spark, sf):
-    parts = sampling.random_split(fx.silver(spark, sf).select("loan_id"), [0.6, 0.4], 42)
+    parts = sampling.random_split(fx.silver_table(spark, sf).select("loan_id"), [0.6, 0.4], 42)
     counted = [p.agg(F.count("*").alias("n")).select(F.lit(i).alias("part"), "n") for i, p in enumerate(parts)]
     return counted[0].unionByName(counted[1])
 
