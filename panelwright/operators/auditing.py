@@ -62,8 +62,11 @@ def numeric_profile(
 ) -> DataFrame:
     """Min, max, mean, filled cells and hits of each all-nines value, over text columns."""
 
+    # each cell is parsed once, in a projection below the aggregate
+    parsed = df.select(*columns, *[c.to_float_or_null(n).alias(f"_value_{n}") for n in columns])
+
     def measures(n: str) -> dict[str, Column]:
-        value = c.to_float_or_null(n)
+        value = F.col(f"_value_{n}")
         return {
             "min": F.min(value),
             "max": F.max(value),
@@ -71,7 +74,7 @@ def numeric_profile(
             "filled": F.count_if(~c.is_blank(n)),
         } | {f"hits_{x}": F.count_if(value == x) for x in nines}
 
-    return per_column(df, columns, measures)
+    return per_column(parsed, columns, measures)
 
 
 def sentinel_candidates(profile: DataFrame, nines: Sequence[int] = (99, 999, 9999)) -> DataFrame:
@@ -266,26 +269,30 @@ def range_audit(
     where they lie above the upper bound.
     """
 
-    def measures(n: str) -> dict[str, Column]:
-        low, high = bounds[n]
+    def plausible(n: str) -> Column:
         known = list(sentinels.get(n, ()))
-        above = [x for x in nines if x > high and str(x) not in known]
+        above = [float(x) for x in nines if x > bounds[n][1] and str(x) not in known]
         value = c.to_float_or_null(n)
-        valid = ~c.is_blank(n) & value.isNotNull()
+        valid = ~c.is_blank(n)
         if known:
             valid = valid & ~F.trim(F.col(n)).isin(*known)
         if above:
-            valid = valid & ~value.isin(*[float(x) for x in above])
-        kept = F.when(valid, value)
+            valid = valid & ~value.isin(*above)
+        return F.when(valid, value)
+
+    def measures(n: str) -> dict[str, Column]:
+        kept = F.col(n)
         return {
             "min": F.min(kept),
             "max": F.max(kept),
             "avg": F.round(F.avg(kept), 4),
             "n": F.count(kept),
-            "out_of_range": F.count_if(~kept.between(low, high)),
+            "out_of_range": F.count_if(~kept.between(*bounds[n])),
         }
 
-    return per_column(df, list(bounds), measures).withColumn(
+    # each cell is judged once, in a projection below the aggregate
+    values = df.select(*[plausible(n).alias(n) for n in bounds])
+    return per_column(values, list(bounds), measures).withColumn(
         "status", F.when(F.col("out_of_range") == 0, "OK").otherwise("OUT OF RANGE")
     )
 
