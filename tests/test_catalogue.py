@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from panelwright.workload import catalogue
 from conftest import DATA, TABLES
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = catalogue.queries(), catalogue.oracle_sql()
 
 
 @pytest.fixture(scope="module")
