@@ -346,8 +346,8 @@ def identify(docs: DataFrame) -> DataFrame:
     return scored.select(
         "doc_id",
         "held_out",
-        F.coalesce(F.element_at(names, best), F.lit(UNKNOWN)).alias("lang_pred"),
-        F.coalesce(share, F.lit(0.0)).alias("score"),
+        F.when(F.col("entropy").isNull(), F.lit(UNKNOWN)).otherwise(F.get(names, best - 1)).alias("lang_pred"),
+        F.when(F.col("entropy").isNull(), F.lit(0.0)).otherwise(share).alias("score"),
         least.alias("entropy"),
-        F.coalesce(least > F.element_at(caps, best), F.lit(True)).alias("rejected"),
+        (F.col("entropy").isNull() | (least > F.get(caps, best - 1))).alias("rejected"),
     )

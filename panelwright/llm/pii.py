@@ -179,19 +179,29 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
+def _clear(row: dict) -> np.ndarray:
+    """Whether each token is observed or shares no key with an observed token."""
+    keys = {k for name in ("same", "alike") for k, own in zip(row[name], row["label"]) if own and k >= 0}
+    pairs = zip(row["label"], row["same"], row["alike"])
+    return np.array([bool(own) or not (a in keys or b in keys) for own, a, b in pairs], np.bool_)
+
+
 def train(found: DataFrame, rounds: int = 150) -> Model:
     """Multinomial regression for the unary potentials, log odds of neighbouring labels for the chain, and of equal
     labels on repeated tokens for the skip edges. Without labelled tokens all potentials are flat but for the skip."""
     pick = found.where(F.size("label") > 0).select(
-        *[F.slice(c, 1, TRAIN_TOKENS).alias(c) for c in ("label", "token", "same")],
+        *[F.slice(c, 1, TRAIN_TOKENS).alias(c) for c in ("label", "token", "same", "alike")],
         F.slice("features", 1, FEATURES * TRAIN_TOKENS).alias("features"),
         F.xxhash64("doc_id").alias("order"),
     )
     rows = pick.orderBy("order", "features").limit(TRAIN_DOCS).collect()
     if not rows:
         return Model(np.zeros((BUCKETS, LABELS)), np.zeros((LABELS, LABELS)), 2.0)
-    features = np.concatenate([np.array(r["features"]).reshape(-1, FEATURES) for r in rows])
-    label = np.concatenate([np.array(r["label"]) for r in rows])
+    # a token that repeats or resembles an observed one is what the skip edges are to decide: it teaches nothing
+    clear = [_clear(r) for r in rows]
+    taught = np.concatenate(clear)
+    features = np.concatenate([np.array(r["features"]).reshape(-1, FEATURES) for r in rows])[taught]
+    label = np.concatenate([np.array(r["label"]) for r in rows])[taught]
     goal = np.eye(LABELS)[label]
     weight = np.zeros((BUCKETS, LABELS))
     for _ in range(rounds):
@@ -204,10 +214,12 @@ def train(found: DataFrame, rounds: int = 150) -> Model:
         weight += step / seen - 0.001 * weight
     pairs = np.ones((LABELS, LABELS))
     alike, pairs_seen = 1.0, 2.0
-    for r in rows:
+    for r, known in zip(rows, clear):
         last: dict[int, int] = {}
         for i, (key, own) in enumerate(zip(r["same"], r["label"])):
-            if i and r["token"][i] == r["token"][i - 1] + 1:
+            if not known[i]:
+                continue
+            if i and known[i - 1] and r["token"][i] == r["token"][i - 1] + 1:
                 pairs[r["label"][i - 1], own] += 1
             if key >= 0:
                 if key in last:
