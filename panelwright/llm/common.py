@@ -13,6 +13,8 @@ from panelwright.session import scratch_folder, stored
 
 __all__ = ["components", "drop_folder", "map_rows", "narrow_batches", "read_table", "rewrite_texts", "stored"]
 
+#: Spans that are sent to all tasks.
+BROADCAST_SPANS = 500_000
 #: Characters of text that a Python task holds at a time, besides one document of any length.
 SLICE_CHARS = 4_000_000
 
@@ -61,10 +63,13 @@ def fresh(df: DataFrame, name: str) -> str:
 def rewrite_texts(
     docs: DataFrame, edits: DataFrame, change: Callable[[str, list[dict]], str], drop_blank: bool = False
 ) -> DataFrame:
-    """``docs`` with ``text`` changed where ``edits`` (``doc_id, spans``, unique ids) has spans for it; ``n_chars``, if there
-    is such a column, is counted anew there. ``drop_blank`` drops texts of which only white space is left."""
+    """``docs`` with ``text`` changed where ``edits`` (``doc_id, spans``, unique ids, stored) has spans for it; ``n_chars``,
+    if there is such a column, is counted anew there. ``drop_blank`` drops texts of which only white space is left.
+    Few edits go to the documents; beyond BROADCAST_SPANS, both are shuffled."""
     key, spans = fresh(docs, "edited_id"), fresh(docs, "edited_spans")
+    few = (edits.agg(F.sum(F.size("spans"))).first()[0] or 0) <= BROADCAST_SPANS
     edits = edits.select(F.col("doc_id").alias(key), F.col("spans").alias(spans))
+    edits = F.broadcast(edits) if few else edits.hint("merge")
     joined = docs.join(edits, docs["doc_id"].cast("long") == F.col(key), "left").drop(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

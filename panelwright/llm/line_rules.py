@@ -157,6 +157,11 @@ def _lost(docs: DataFrame, host: str, max_docs: int) -> DataFrame:
     return stored(lost, "lost_lines")
 
 
+def _small(lost: DataFrame) -> bool:
+    """Whether all lost lines together may be sent to all tasks."""
+    return (lost.agg(F.sum(F.size("lost_lines"))).first()[0] or 0) <= BROADCAST_LINES
+
+
 def _kept(max_lost: float) -> Column:
     return ~F.col("base_failed") & (F.col("lost_words") <= max_lost * F.col("n_words"))
 
@@ -178,6 +183,7 @@ def clean(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, max_l
     """The documents that ``judge`` keeps, without their boilerplate lines; the columns stay, and ``n_chars`` of changed
     texts, if there is such a column, is counted anew."""
     lost = _lost(docs, host, max_docs)
+    lost = F.broadcast(lost) if _small(lost) else lost.hint("merge")
     inner = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), *_rule_columns(docs))
     joined = inner.join(lost, F.col("_row.doc_id") == F.col("_id"), "left").withColumn(
         "lost_words", F.coalesce("lost_words", F.lit(0))
