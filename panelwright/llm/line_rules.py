@@ -23,6 +23,7 @@ MAX_LOST = 0.5
 #: Boilerplate lines that are sent to all tasks; beyond, they are joined by a shuffle.
 BROADCAST_LINES = 500_000
 SYMBOLS = "#*$%&|<>"
+_BLANKS = " \t\n\x0b\x0c\r"
 _BLANK = r"[\x20\x09-\x0D]+"
 
 
@@ -32,22 +33,21 @@ def _bound(value: Column, use) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, _BLANK), lambda w: w != "")
+    plain = F.btrim(text, F.lit(_BLANKS))
+    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, _BLANK))
 
 
 def _repeat_words(words: Column) -> Column:
     """Words in three-word windows that are found twice or more.
 
-    Windows become (hash, position) pairs; sorted, equal windows are neighbours. Each repeated window then covers three
-    words, less the overlap with the next repeated window.
+    If all windows differ, there are none. Else windows become (hash, position) pairs; sorted, equal windows are
+    neighbours. Each repeated window then covers three words, less the overlap with the next repeated window.
     """
 
-    def windows(w: Column) -> Column:
+    def hashes(w: Column) -> Column:
         last = F.greatest(F.size(w) - 2, F.lit(0))
-        at = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.array_sort(
-            F.transform(at, lambda i: F.struct(F.xxhash64(w[i - 1], w[i], w[i + 1]).alias("h"), i.alias("at")))
-        )
+        at = F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
 
     def repeated(pairs: Column) -> Column:
         same = lambda i, j: F.coalesce(F.get(pairs, i)["h"] == F.get(pairs, j)["h"], F.lit(False))
@@ -62,7 +62,12 @@ def _repeat_words(words: Column) -> Column:
             lambda s: s["n"],
         )
 
-    return _bound(words, lambda w: _bound(windows(w), lambda pairs: _bound(repeated(pairs), covered)))
+    def count(h: Column) -> Column:
+        pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
+        counted = _bound(pairs, lambda p: _bound(repeated(p), covered))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(counted)
+
+    return _bound(hashes(words), count)
 
 
 def _count(text: Column, symbols: str) -> Column:
