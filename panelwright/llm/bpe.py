@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from panelwright.llm.common import map_rows
 
 _NONE = np.int64(1 << 62)
+#: Bytes from which a pre-token has a tree of its own.
+LONG = 512
 #: Tree cells that are worked on together.
 CELLS = 4_000_000
 #: Distinct pieces of text that a Python task remembers.
-CACHE = 300_000
+CACHE = 500_000
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -48,6 +50,7 @@ class Encoder:
         suffix = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        self.number = {i: str(i) for i in self.token}
         alphabet = byte_alphabet()
         self.inner = np.array([vocab[alphabet[b]] for b in range(256)], np.int64)
         self.last = np.array([vocab[alphabet[b] + suffix] for b in range(256)], np.int64)
@@ -64,7 +67,9 @@ class Encoder:
         self.split = regex.compile(pattern)
         names = "|".join(map(regex.escape, self.special))
         self.outside = regex.compile(f"({names})") if names else None
-        self.cache: dict[str, tuple[int, str, str, bytes]] = {}
+        # ids of the chunks met so far: flat[begin[k] : begin[k + 1]] for the k-th
+        self.cache: dict[str, int] = {}
+        self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each adjacent pair; _NONE if it can't be merged or either side is missing."""
@@ -73,23 +78,79 @@ class Encoder:
         good = (left >= 0) & (right >= 0) & (self.pairs[at] == key)
         return np.where(good, self.rank_of[at], _NONE)
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each pre-token, given as its bytes."""
-        out: list[list[int]] = [[] for _ in pieces]
-        by_size: dict[int, list[int]] = {}
-        for i, p in enumerate(pieces):
-            if p:
-                by_size.setdefault(max(2, 1 << (len(p) - 1).bit_length()), []).append(i)
-        for size, members in by_size.items():
-            step = max(1, CELLS // size)
-            for a in range(0, len(members), step):
-                self._encode_rows(pieces, members[a : a + step], size, out)
-        return out
-
-    def _encode_rows(self, pieces: list[bytes], members: list[int], size: int, out: list[list[int]]) -> None:
-        n = len(members)
-        length = np.array([len(pieces[i]) for i in members])
-        raw = np.frombuffer(b"".join(pieces[i].ljust(size, b"\0") for i in members), np.uint8).reshape(n, size)
+    def encode_long(self, piece: bytes) -> list[int]:
+        """Ids of one pre-token by its own tree: the root holds rank * size + position of the next merge."""
+        n = len(piece)
+        ids = self.inner[np.frombuffer(piece, np.uint8)].tolist()
+        ids[-1] = int(self.last[piece[-1]])
+        size = 1 << (n - 1).bit_length()
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        rank = self.ranks(np.array(ids[:-1]), np.array(ids[1:])).tolist()
+        never = int(_NONE)
+        leaves = [r * size + i if r < never else never for i, r in enumerate(rank)]
+        tree = [never] * size + leaves + [never] * (size - len(leaves))
+        for node in range(size - 1, 0, -1):
+            tree[node] = min(tree[2 * node], tree[2 * node + 1])
+        known: dict[tuple[int, int], int] = {}
+
+        def put(at: int, left: int, right: int) -> None:
+            value = never
+            if left >= 0 and right >= 0:
+                r = known.get((left, right))
+                if r is None:
+                    r = known[left, right] = int(self.ranks(np.array([left]), np.array([right]))[0])
+                value = r * size + at if r < never else never
+            node = at + size
+            tree[node] = value
+            while node > 1:
+                node >>= 1
+                least = min(tree[2 * node], tree[2 * node + 1])
+                if tree[node] == least:
+                    break  # nothing changes further up
+                tree[node] = least
+
+        while tree[1] < never:
+            rank_, at = divmod(tree[1], size)
+            gone = after[at]
+            ids[at], ids[gone] = int(self.made[rank_]), -1
+            follow = after[at] = after[gone]
+            if follow < n:
+                before[follow] = at
+            put(at, ids[at], ids[follow] if follow < n else -1)
+            put(gone, -1, -1)
+            if before[at] >= 0:
+                put(before[at], ids[before[at]], ids[at])
+        return [i for i in ids if i >= 0]
+
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pre-tokens, given as their bytes, one after the other, and the number of ids of each."""
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        size = np.maximum(2, 1 << np.ceil(np.log2(np.maximum(length, 1))).astype(np.int64))
+        count = np.zeros(len(pieces), np.int64)
+        parts = []
+        for own in np.unique(size).tolist():
+            members = np.flatnonzero(size == own)
+            if own >= LONG:  # few and long: a tree each
+                for i in members.tolist():
+                    ids = np.array(self.encode_long(pieces[i]), np.uint32)
+                    count[i] = len(ids)
+                    parts.append((np.array([i]), ids))
+                continue
+            step = max(1, CELLS // own)
+            for at in range(0, len(members), step):
+                some = members[at : at + step]
+                ids, rows = self._encode_rows([pieces[i] for i in some.tolist()], length[some], own)
+                count[some] = rows
+                parts.append((some, ids))
+        begin = np.concatenate([[0], np.cumsum(count)])
+        flat = np.zeros(begin[-1], np.uint32)
+        for some, ids in parts:
+            flat[_ranges(begin[some], count[some])] = ids
+        return flat, count
+
+    def _encode_rows(self, pieces: list[bytes], length: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        n = len(pieces)
+        raw = np.frombuffer(b"".join([p.ljust(size, b"\0") for p in pieces]), np.uint8).reshape(n, size)
         ids = self.inner[raw]
         ids[np.arange(n), length - 1] = self.last[raw[np.arange(n), length - 1]]
         ids[np.arange(size) >= length[:, None]] = -1
@@ -124,10 +185,8 @@ class Encoder:
             has = lead >= 0
             self._update(tree, live[has], size, lead[has], self.ranks(ahead, here)[has])
             live = live[tree[live, 1] < _NONE]
-        rows, columns = np.nonzero(ids >= 0)
-        found = np.split(ids[rows, columns], np.cumsum(np.bincount(rows, minlength=n))[:-1])
-        for i, own in zip(members, found):
-            out[i] = own.tolist()
+        there = ids >= 0
+        return ids[there], there.sum(axis=1)
 
     @staticmethod
     def _update(tree: np.ndarray, rows: np.ndarray, size: int, at: np.ndarray, rank: np.ndarray) -> None:
@@ -157,36 +216,67 @@ class Encoder:
         """Encode the chunks that are not in the cache."""
         if len(self.cache) > CACHE:
             self.cache.clear()
+            self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
         new = [c for c in chunks if c not in self.cache]
-        pieces: dict[bytes, int] = {}
-        cut = []
+        if not new:
+            return
+        pieces: dict[str, int] = {}
+        number = pieces.setdefault
+        cut: list[int] = []
+        counts: list[int] = []
         for c in new:
             if c in self.special:
-                cut.append(None)
+                cut.append(-1 - self.special[c])
+                counts.append(1)
                 continue
             # lower case goes by single characters, so a capital sigma has one form everywhere
-            plain = unicodedata.normalize("NFC", c).replace("Σ", "σ").lower()
-            cut.append([pieces.setdefault(p.encode(), len(pieces)) for p in self.split.findall(plain)])
-        ids = self.encode_pieces(list(pieces))
-        for c, own in zip(new, cut):
-            found = [self.special[c]] if own is None else [i for k in own for i in ids[k]]
-            self.cache[c] = (
-                len(found),
-                " ".join(map(str, found)),
-                self.decode(found),
-                np.array(found, "<u4").tobytes(),
-            )
+            plain = c.lower() if c.isascii() else unicodedata.normalize("NFC", c).replace("Σ", "σ").lower()
+            if plain.isalpha():
+                cut.append(number(plain, len(pieces)))
+                counts.append(1)
+            else:
+                found = [number(p, len(pieces)) for p in self.split.findall(plain)]
+                cut += found
+                counts.append(len(found))
+        ids, count = self.encode_pieces([p.encode() for p in pieces])
+        # the special tokens follow the pieces
+        special = sorted(self.special.values())
+        ids = np.concatenate([ids, np.array(special, np.uint32)])
+        count = np.concatenate([count, np.ones(len(special), np.int64)])
+        begin = np.concatenate([[0], np.cumsum(count)])
+        which = np.array(cut, np.int64)
+        named = which < 0
+        which[named] = len(pieces) + np.searchsorted(special, -1 - which[named])
+        flat = ids[_ranges(begin[which], count[which])]
+        per_chunk = np.add.reduceat(np.append(count[which], 0), np.cumsum([0, *counts[:-1]]))
+        per_chunk[np.array(counts) == 0] = 0
+        first = len(self.cache)
+        self.cache.update(zip(new, range(first, first + len(new))))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(per_chunk)])
+        self.flat = np.concatenate([self.flat, flat])
 
     def decode(self, ids: list[int]) -> str:
         """Token strings joined by spaces, special ones included: the file has no decoder."""
-        return " ".join(self.token[i] for i in ids)
+        return " ".join(map(self.token.__getitem__, ids))
 
-    def batch(self, texts: list[str | None]) -> list[list[tuple[int, str, str, bytes]]]:
-        """For each text its chunks' (number of ids, ids as text, token strings, ids as little-endian bytes)."""
+    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text."""
         split = [self.chunks(t or "") for t in texts]
-        self.learn({c for chunks in split for c in chunks})
+        self.learn(set().union(*split))
         get = self.cache.__getitem__
-        return [list(map(get, chunks)) for chunks in split]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter((k for chunks in split for k in map(get, chunks)), np.int64, int(sizes.sum()))
+        count = np.diff(self.begin)[at]
+        ids = self.flat[_ranges(self.begin[at], count)]
+        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum(sizes)]
+        return np.split(ids, ends[:-1])
+
+
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... for count[0] numbers, then the same from begin[1] on, and so on."""
+    ends = np.cumsum(count)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(begin - ends + count, count)
 
 
 @lru_cache(maxsize=2)
@@ -197,7 +287,7 @@ def encoder(path: str) -> Encoder:
 
 def encode_ids(path: str, texts: list[str | None]) -> list[np.ndarray]:
     """Ids of each text as unsigned 32-bit arrays."""
-    return [np.frombuffer(b"".join([c[3] for c in chunks]), "<u4") for chunks in encoder(path).batch(texts)]
+    return encoder(path).batch(texts)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -206,12 +296,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     rows; other columns are ignored."""
 
     def work(batch: pa.RecordBatch) -> dict:
-        made = encoder(path).batch(batch.column("text").to_pylist())
-        ids = [np.frombuffer(b"".join([c[3] for c in chunks]), "<u4").astype(np.int32) for chunks in made]
+        ids = encode_ids(path, batch.column("text").to_pylist())
         return {
             "doc_id": batch.column("doc_id"),
-            "ids": pa.array(ids, pa.list_(pa.int32())),
-            "decoded": [" ".join([c[2] for c in chunks if c[0]]) for chunks in made],
+            "ids": pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
+            "decoded": [encoder(path).decode(x.tolist()) for x in ids],
         }
 
     return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), work, "doc_id long, ids array<int>, decoded string")
@@ -221,11 +310,13 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: what ``encode`` gives, as digests made where the ids are."""
 
     def work(batch: pa.RecordBatch) -> dict:
+        own = encoder(path)
         n, ids, decoded = [], [], []
-        for chunks in encoder(path).batch(batch.column("text").to_pylist()):
-            n.append(sum([c[0] for c in chunks]))
-            ids.append(hashlib.sha256(" ".join([c[1] for c in chunks if c[0]]).encode()).hexdigest())
-            decoded.append(hashlib.sha256(" ".join([c[2] for c in chunks if c[0]]).encode()).hexdigest())
+        for found in own.batch(batch.column("text").to_pylist()):
+            listed = found.tolist()
+            n.append(len(listed))
+            ids.append(hashlib.sha256(" ".join(map(own.number.__getitem__, listed)).encode()).hexdigest())
+            decoded.append(hashlib.sha256(own.decode(listed).encode()).hexdigest())
         return {"doc_id": batch.column("doc_id"), "n_tokens": n, "ids_sha256": ids, "decoded_sha256": decoded}
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
