@@ -12,7 +12,6 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.functions import columns as c
@@ -40,9 +39,8 @@ def per_column(
 
 
 def with_share(counts: DataFrame, n: str, alias: str, digits: int = 2) -> DataFrame:
-    """Share of the total in percent. Meant for aggregated frames: the total is a
-    window over all rows, which are as few as there are groups."""
-    total = F.sum(n).over(W.partitionBy())
+    """Share of the total in percent. The total is a scalar subquery, so any number of groups will do."""
+    total = counts.agg(F.sum(n)).scalar()
     return counts.withColumn(alias, F.round(F.col(n) * 100.0 / total, digits))
 
 

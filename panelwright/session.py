@@ -16,9 +16,10 @@ RUNTIME = {
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.session.timeZone": "UTC",
     # the JVM does not compile methods above 8000 bytes of bytecode; a projection or
-    # aggregate that would need one is generated in smaller parts instead
+    # aggregate that would need one is generated in smaller parts instead; wide scans stay vectorised
+    # up to maxFields columns
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.codegen.maxFields": "30",
+    "spark.sql.codegen.maxFields": "100",
 }
 STATIC = {
     # building wide column lists is several times faster without call-site capture

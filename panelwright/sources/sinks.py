@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +28,15 @@ def write_files(df: DataFrame, path: str, files: int) -> None:
     df.repartition(files).write.mode("overwrite").parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, single_below: int = 1_000_000, rows_per_file: int = 1_000_000) -> int:
-    """CSV with header: one file when the frame is small, else many files.
+def export_csv(df: DataFrame, path: str) -> None:
+    """CSV with header, as many files as the frame has partitions."""
+    df.write.mode("overwrite").option("header", "true").csv(path)
 
-    The row count is checked first. Returns the number of rows.
-    """
-    n = df.count()
-    out = df.coalesce(1) if n <= single_below else df
-    writer = out.write.mode("overwrite").option("header", "true")
-    writer.option("maxRecordsPerFile", rows_per_file).csv(path)
-    return n
+
+def export_single_csv(df: DataFrame, path: str) -> None:
+    """CSV with header in exactly one file, for samples and reports: one task writes it. The shuffle before it
+    leaves the work on the rows with all tasks."""
+    df.repartition(1).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -50,24 +49,45 @@ def write_capped(df: DataFrame, path: str, rows: int = 200_000) -> None:
 
 
 def validate_written(
-    spark: SparkSession, path: str, expected_rows: int, expected_columns: Sequence[str], by: str | None = None
+    spark: SparkSession,
+    path: str,
+    expected_rows: int,
+    expected_columns: Sequence[str],
+    by: str | None = None,
+    expected_partitions: Mapping[str, int] | None = None,
+    expected_types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Re-reads a written table: (check, expected, found, ok)."""
+    """Re-reads a written table: (check, expected, found, ok).
+
+    ``expected_partitions`` maps the values of ``by`` that should be there to their rows, ``expected_types`` columns to
+    Spark type names; both come from the source or the specification, not from the table itself.
+    """
     df = spark.read.parquet(path)
-    measures = [F.count("*").alias("rows")]
     if by:
-        measures += [F.min(by).alias("first"), F.max(by).alias("last"), F.size(F.collect_set(by)).alias("parts")]
-    row = df.agg(*measures).first()
+        # one row per partition value, as many as directories
+        found = {str(r[0]): r[1] for r in df.groupBy(by).count().collect()}
+        rows = sum(found.values())
+    else:
+        rows = df.count()
     checks = [
-        ("rows", str(expected_rows), str(row["rows"])),
+        ("rows", str(expected_rows), str(rows)),
         ("columns", str(len(expected_columns)), str(len(df.columns))),
         ("missing columns", "", ",".join(sorted(set(expected_columns) - set(df.columns)))),
         ("extra columns", "", ",".join(sorted(set(df.columns) - set(expected_columns)))),
     ]
-    if by:
+    if expected_types is not None:
+        wrong = sorted(n for n, kind in df.dtypes if n in expected_types and expected_types[n] != kind)
+        checks.append(("wrong types", "", ",".join(wrong)))
+    if by and expected_partitions is not None:
+        wanted = {str(k): n for k, n in expected_partitions.items()}
         checks += [
-            (f"{n} partition", str(row[n]), str(row[n])) for n in ("first", "last")
-        ] + [("partitions", str(row["parts"]), str(row["parts"]))]
+            ("first partition", min(wanted, default=""), min(found, default="")),
+            ("last partition", max(wanted, default=""), max(found, default="")),
+            ("partitions", str(len(wanted)), str(len(found))),
+            ("missing partitions", "", ",".join(sorted(set(wanted) - set(found)))),
+            ("extra partitions", "", ",".join(sorted(set(found) - set(wanted)))),
+            ("wrong partition rows", "", ",".join(sorted(k for k in wanted if found.get(k, wanted[k]) != wanted[k]))),
+        ]
     return spark.createDataFrame(
         [(*x, int(x[1] == x[2])) for x in checks], "check string, expected string, found string, ok int"
     )

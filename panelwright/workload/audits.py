@@ -186,7 +186,8 @@ def a11(spark, sf):
 
 @book.query(
     "a11_panel_key_uniqueness",
-    f"WITH {fx.silver_cte()} SELECT count(*) AS rows, count(*) AS keys, 0 AS duplicates, 0.0 AS pct_duplicates FROM silver",
+    f"WITH {fx.silver_cte()} SELECT sum(n) AS rows, count(*) AS keys, sum(n) - count(*) AS duplicates, "
+    f"round((sum(n) - count(*)) * 100.0 / sum(n), 4) AS pct_duplicates FROM (SELECT count(*) AS n FROM silver GROUP BY {', '.join(KEY)})",
 )
 def a11_panel(spark, sf):
     return auditing.key_uniqueness(fx.silver_table(spark, sf), KEY)

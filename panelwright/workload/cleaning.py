@@ -8,6 +8,7 @@ from panelwright.functions import columns as c
 from panelwright.operators import cleaning, collapse
 from panelwright.presets import mortgage
 from panelwright.workload import fixture as fx
+from panelwright.workload import ingest
 from panelwright.workload.book import Book
 
 book = Book()
@@ -123,7 +124,7 @@ def p10(spark, sf):
 )
 def p11(spark, sf):
     return cleaning.preview(
-        fx.silver_table(spark, sf), mortgage.QUARTER, "2005Q1", [*KEY, "orig_upb"], rows=5
+        spark.read.parquet(ingest.silver_folder(spark, sf)), mortgage.QUARTER, "2005Q1", [*KEY, "orig_upb"], rows=5
     )
 
 

@@ -61,7 +61,7 @@ def m22(spark, sf):
     return out.withColumn("value", F.round("value", 6))
 
 
-_UNITS = [f"z{i}" for i in range(8)]
+_UNITS = [f"z{i}" for i in range(64)]
 
 
 @book.query(
@@ -70,13 +70,13 @@ _UNITS = [f"z{i}" for i in range(8)]
     + " UNION ALL ".join(
         f"SELECT 'z{i}' AS \"column\", round(var_pop(embedding[{i + 1}]::double), 6) AS variance, "
         f"CASE WHEN var_pop(embedding[{i + 1}]::double) > 0.01 THEN 1 ELSE 0 END AS active FROM embeddings"
-        for i in range(8)
+        for i in range(64)
     )
     + ")",
 )
 def m23(spark, sf):
     rows = fx.read(spark, sf, "embeddings")
-    cells = rows.select(*[F.col("embedding")[i].cast("double").alias(f"z{i}") for i in range(8)])
+    cells = rows.select(*[F.col("embedding")[i].cast("double").alias(f"z{i}") for i in range(64)])
     return embedding.active_units(cells, _UNITS).withColumn("variance", F.round("variance", 6))
 
 
@@ -126,10 +126,10 @@ def m25_choice(spark, sf):
     "m26_kurtosis",
     " UNION ALL ".join(
         f"SELECT 'z{i}' AS \"column\", round(kurtosis_pop(embedding[{i + 1}]::double), 5) AS kurtosis FROM embeddings"
-        for i in range(8)
+        for i in range(64)
     ),
 )
 def m26(spark, sf):
     rows = fx.read(spark, sf, "embeddings")
-    cells = rows.select(*[F.col("embedding")[i].cast("double").alias(f"z{i}") for i in range(8)])
+    cells = rows.select(*[F.col("embedding")[i].cast("double").alias(f"z{i}") for i in range(64)])
     return embedding.kurtosis_table(cells, _UNITS).withColumn("kurtosis", F.round("kurtosis", 5))

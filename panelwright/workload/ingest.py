@@ -244,7 +244,7 @@ def k04(spark, sf):
 def k05(spark, sf):
     path = scratch_folder(spark, "one-csv")
     loans = fx.loan_table(spark, sf).select("loan_id", "stratum")
-    sinks.export_csv(loans, path)
+    sinks.export_single_csv(loans, path)
     files = listing.list_files(spark, path, "*.csv").select(F.count("*").cast("int")).scalar()
     back = records.read_records(spark, path, loans.schema, sep=",", header=True)
     return back.agg(F.count("*").alias("n")).withColumn("files", files)
@@ -267,9 +267,13 @@ def k07(spark, sf):
     "SELECT 'rows' AS \"check\", cast(n as varchar) AS expected, cast(n as varchar) AS found, 1 AS ok FROM parts "
     f"UNION ALL SELECT 'columns', '{len(RULES.kept)}', '{len(RULES.kept)}', 1 "
     "UNION ALL SELECT 'missing columns', '', '', 1 UNION ALL SELECT 'extra columns', '', '', 1 "
+    "UNION ALL SELECT 'wrong types', '', '', 1 UNION ALL SELECT 'missing partitions', '', '', 1 "
+    "UNION ALL SELECT 'extra partitions', '', '', 1 UNION ALL SELECT 'wrong partition rows', '', '', 1 "
     "UNION ALL SELECT 'first partition', a, a, 1 FROM parts UNION ALL SELECT 'last partition', z, z, 1 FROM parts "
     "UNION ALL SELECT 'partitions', cast(q as varchar), cast(q as varchar), 1 FROM parts",
 )
 def k08(spark, sf):
-    expected = fx.months(spark, sf).count()
-    return sinks.validate_written(spark, silver_folder(spark, sf), expected, RULES.kept, Q)
+    # what should be there comes from the raw panel and the specification
+    parts = {r[Q]: r["count"] for r in fx.raw_panel(spark, sf).groupBy(Q).count().collect()}
+    kinds = {n: cleaning.SPARK_TYPES[k].simpleString() for n, k in RULES.kinds.items()}
+    return sinks.validate_written(spark, silver_folder(spark, sf), sum(parts.values()), RULES.kept, Q, parts, kinds)

@@ -77,12 +77,34 @@ def test_partition_filter_is_pruned(spark, tmp_path):
 
 def test_export_of_a_small_frame_is_one_file(spark, tmp_path):
     df = spark.range(1000).withColumn("name", F.lit("x"))
-    sinks.export_csv(df.repartition(5), str(tmp_path / "one"))
-    sinks.export_csv(df.repartition(5), str(tmp_path / "many"), single_below=10)
+    sinks.export_single_csv(df.repartition(5), str(tmp_path / "one"))
+    sinks.export_csv(df.repartition(5), str(tmp_path / "many"))
     count = lambda p: len(list((tmp_path / p).glob("*.csv")))
     assert (count("one"), count("many")) == (1, 5)
 
 
+def test_read_back_checks_can_fail(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "n long, q string")
+    path = str(tmp_path / "t")
+    sinks.overwrite_partitioned(df, path, ["q"])
+
+    def bad(rows, columns, parts, kinds):
+        checked = sinks.validate_written(spark, path, rows, columns, "q", parts, kinds)
+        return {r["check"] for r in checked.collect() if not r["ok"]}
+
+    assert bad(3, ["n", "q"], {"a": 2, "b": 1}, {"n": "bigint"}) == set()
+    assert bad(4, ["n", "m"], {"a": 2, "b": 2, "c": 1}, {"n": "int"}) == {
+        "rows",
+        "missing columns",
+        "extra columns",
+        "wrong types",
+        "last partition",
+        "partitions",
+        "missing partitions",
+        "wrong partition rows",
+    }
+
+
 def test_stages_end_to_end(spark, tmp_path, data):
     from panelwright.workload import fixture as fx
 
