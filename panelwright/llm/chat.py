@@ -62,13 +62,18 @@ def branches(messages: DataFrame) -> DataFrame:
     )
     ways = stored(ways, "ways")
     parents = ways.where("above is not null").select("tree", F.col("above").alias("node")).distinct()
-    while ways.where("above is not null").limit(1).count():
-        low, high = ways.alias("l"), ways.alias("h")
-        joined = low.join(
-            high, F.col("l.tree").eqNullSafe(F.col("h.tree")) & (F.col("l.above") == F.col("h.node")), "left"
+    # messages whose way has reached the root are set aside; only the others are joined again
+    done, going = ways.where("above is null"), ways.where("above is not null")
+    while going.limit(1).count():
+        low, high = going.alias("l"), done.unionByName(going).alias("h")
+        joined = low.join(high, F.col("l.tree").eqNullSafe(F.col("h.tree")) & (F.col("l.above") == F.col("h.node")))
+        longer = joined.select(
+            "l.tree", "l.node", F.col("h.above").alias("above"), F.concat("h.path", "l.path").alias("path")
         )
-        path = F.concat(F.coalesce("h.path", F.array().cast("array<bigint>")), F.col("l.path"))
-        ways = stored(joined.select("l.tree", "l.node", F.col("h.above").alias("above"), path.alias("path")), "ways")
+        # a way that meets a message twice runs in a circle and has no root
+        longer = stored(longer.where(F.size(F.array_distinct("path")) == F.size("path")), "ways")
+        done, going = done.unionByName(longer.where("above is null")), longer.where("above is not null")
+    ways = done
     leaves = ways.alias("w").join(
         parents.alias("p"),
         F.col("w.tree").eqNullSafe(F.col("p.tree")) & (F.col("w.node") == F.col("p.node")),

@@ -225,6 +225,9 @@ def test_branches_are_ranked_and_read_back(spark):
         (1, 3, 1, "assistant", "b", 0.1),
         (1, 4, 3, "user", None, 0.0),
         (2, 9, 5, "sy|>stem", "~", 0.0),
+        (3, 1, 2, "user", "a circle", 0.0),
+        (3, 2, 1, "user", "without a root", 0.0),
+        (3, 3, 2, "user", "and what hangs on it", 0.0),
     ]
     df = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
     made = chat.conversations(df)
