@@ -1,7 +1,7 @@
 """Reply trees as chat text, with DataFrame functions only.
 
-Every message knows its parent. Self-joins double the length of the known way to the root, so a tree of depth n takes
-about log2(n) joins; the ways of the leaves are the branches. Branches are ranked by their score within a tree and the chosen
+Every message knows its parent. Self-joins double the length of jumps towards the root, so a tree of depth n takes about
+log2(n) joins, and as many joins of the leaves with the jumps, longest first, give the branches message by message. Branches are ranked by their score within a tree and the chosen
 ones are formatted, one conversation each.
 
 A conversation is a row of turns ``<|role|>text</s>``. In texts and roles ``~``, ``<``, ``[`` and ``|`` are written ``~0``,
@@ -47,39 +47,48 @@ def tree_of_turns(rows: DataFrame, conversation: str = "conv_id", turn: str = "t
     return numbered.select("tree", "node", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def branches(messages: DataFrame) -> DataFrame:
-    """``tree, leaf, path``: for every leaf the nodes from the root to it. A message whose parent is missing is a root."""
-    nodes = messages.select("tree", "node", "parent")
-    known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
+def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Tables ``tree, node, above``: the k-th leads 2**k messages up and holds the messages that have so many above them.
+    The last frame holds the messages whose way runs in a circle: they still jump further than their tree is large."""
+    known = nodes.select("tree", F.col("node").alias("parent"))
     # trees may have a null key, so keys compare null-safe throughout
-    linked = nodes.alias("n").join(
-        known.alias("k"),
-        F.col("n.tree").eqNullSafe(F.col("k.tree")) & (F.col("n.parent") == F.col("k.parent")),
-        "left",
-    )
-    ways = linked.select(
-        "n.tree", "n.node", F.when(F.col("known"), F.col("n.parent")).alias("above"), F.array("n.node").alias("path")
+    first = nodes.alias("n").join(
+        known.alias("k"), F.col("n.tree").eqNullSafe(F.col("k.tree")) & (F.col("n.parent") == F.col("k.parent"))
     )
-    ways = stored(ways, "ways")
-    parents = ways.where("above is not null").select("tree", F.col("above").alias("node")).distinct()
-    # messages whose way has reached the root are set aside; only the others are joined again
-    done, going = ways.where("above is null"), ways.where("above is not null")
-    while going.limit(1).count():
-        low, high = going.alias("l"), done.unionByName(going).alias("h")
+    jumps = [stored(first.select("n.tree", "n.node", F.col("n.parent").alias("above")), "jumps")]
+    largest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    length = 1
+    while length < largest and not jumps[-1].isEmpty():
+        low, high = jumps[-1].alias("l"), jumps[-1].alias("h")
         joined = low.join(high, F.col("l.tree").eqNullSafe(F.col("h.tree")) & (F.col("l.above") == F.col("h.node")))
-        longer = joined.select(
-            "l.tree", "l.node", F.col("h.above").alias("above"), F.concat("h.path", "l.path").alias("path")
-        )
-        # a way that meets a message twice runs in a circle and has no root
-        longer = stored(longer.where(F.size(F.array_distinct("path")) == F.size("path")), "ways")
-        done, going = done.unionByName(longer.where("above is null")), longer.where("above is not null")
-    ways = done
-    leaves = ways.alias("w").join(
-        parents.alias("p"),
-        F.col("w.tree").eqNullSafe(F.col("p.tree")) & (F.col("w.node") == F.col("p.node")),
-        "left_anti",
-    )
-    return leaves.select("tree", F.col("node").alias("leaf"), "path")
+        jumps.append(stored(joined.select("l.tree", "l.node", "h.above"), "jumps"))
+        length *= 2
+    return jumps[:-1], jumps[-1]
+
+
+def branches(messages: DataFrame) -> DataFrame:
+    """``tree, leaf, node, up``: for every leaf the messages from it (``up`` 0) to the root, a row each. A message whose
+    parent is missing is a root; leaves behind a circle have no root and no rows.
+
+    The rows are as many as the branches are long together: a message at distance d is reached by the jumps that
+    d consists of as a binary number, each row once, so one tree of any depth is spread over all tasks.
+    """
+    nodes = messages.select("tree", "node", "parent")
+    jumps, endless = _jumps(nodes)
+
+    def without(rows: DataFrame, others: DataFrame) -> DataFrame:
+        same = F.col("w.tree").eqNullSafe(F.col("p.tree")) & (F.col("w.node") == F.col("p.node"))
+        return rows.alias("w").join(others.alias("p"), same, "left_anti").select("tree", "node")
+
+    parents = (jumps[0] if jumps else endless).select("tree", F.col("above").alias("node")).distinct()
+    leaves = without(without(nodes, parents), endless)
+    found = stored(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("up")), "branches")
+    for k in reversed(range(len(jumps))):
+        low, high = found.alias("l"), jumps[k].alias("h")
+        joined = low.join(high, F.col("l.tree").eqNullSafe(F.col("h.tree")) & (F.col("l.node") == F.col("h.node")))
+        further = joined.select("l.tree", "l.leaf", F.col("h.above").alias("node"), (F.col("l.up") + (1 << k)).alias("up"))
+        found = found.unionByName(stored(further, "branches"))
+    return found
 
 
 def conversations(messages: DataFrame, best: int | None = None) -> DataFrame:
@@ -90,8 +99,7 @@ def conversations(messages: DataFrame, best: int | None = None) -> DataFrame:
     ``formatted``, of the assistant's texts. A parent that is not in the tree makes a root; messages on a cycle
     have no leaf and no branch; an empty table gives no rows; other columns are ignored.
     """
-    ways = branches(messages)
-    steps = ways.select("tree", "leaf", F.posexplode("path").alias("step", "node"))
+    steps = branches(messages).select("tree", "leaf", "node", (-F.col("up")).alias("step"))
     told = messages.select(
         F.col("tree").alias("_tree"),
         F.col("node").alias("_node"),
