@@ -55,6 +55,8 @@ def to_long(spark: SparkSession, matrix: np.ndarray, columns: Sequence[str]) ->
 def ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Complete rows with every column replaced by its average rank."""
     rows = complete_cases(df.select(*[F.col(n).cast("double").alias(n) for n in columns]), columns)
+    # written with a number per row, which keeps its value when a task is repeated and spreads equal rows
+    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "complete_rows")
     counts = ranking.value_counts(ranking.melt(rows, columns), ["column"])
     places = ranking.with_positions(counts, ["column"]).withColumn("rank", ranking.mid_rank())
     places = stored(places, "ranks")

@@ -6,35 +6,51 @@ raw files -> bronze (text, by quarter) -> silver (typed) -> loans -> two samples
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelwright.operators import cleaning, collapse, risk, sampling
 from panelwright.sources import listing, records, sinks
 from panelwright.spec import CleanRules, PanelSpec, RiskRules
 
 
+def _manifest(target: str) -> str:
+    """Folder beside the target that lists the files each written quarter was made of."""
+    return f"{target.rstrip('/')}_files"
+
+
+def _replace(raw: DataFrame, target: str, partition: str) -> None:
+    """Write the quarters of a scan anew, then their files to the manifest. A run that breaks in between leaves files
+    unlisted, so the next one writes the same quarters again."""
+    files = listing.source_files(raw, partition)
+    sinks.overwrite_partitioned(records.with_quarter(raw, partition), target, [partition], dynamic=True)
+    sinks.overwrite_partitioned(files.repartition(partition), _manifest(target), [partition], dynamic=True)
+
+
 def ingest(spark: SparkSession, source: str, target: str, rules: CleanRules, partition: str, sep: str = "|") -> None:
     """All files of the folder in one scan, replacing the partitions they belong to."""
-    raw = records.read_records(spark, source, rules.raw_schema, sep)
-    sinks.overwrite_partitioned(records.with_quarter(raw, partition), target, [partition], dynamic=True)
+    _replace(records.read_records(spark, source, rules.raw_schema, sep), target, partition)
 
 
 def ingest_pending(
     spark: SparkSession, source: str, target: str, rules: CleanRules, partition: str, sep: str = "|"
 ) -> int:
-    """Only the source files whose quarter is not in the target. Returns their number.
+    """Loads the source files that the manifest of the target does not list, and returns their number.
 
-    The driver handles file paths, as many as there are source files; the records
-    stay with the executors.
+    A quarter with a new file is written anew from all its files, so a file that arrives late is added and none is
+    doubled. Files whose path names no quarter are not loaded. The driver handles file paths, as many as there are
+    source files; the records stay with the executors.
     """
-    quarter = F.regexp_extract("path", r"(\d{4}Q\d)(?!.*\d{4}Q\d)", 1)
-    files = listing.list_files(spark, source, "*.csv").withColumn(partition, quarter)
-    waiting = listing.pending(files, listing.partition_values(spark, target, partition), partition)
-    paths = [r["path"] for r in waiting.select("path").collect()]
-    if paths:
-        raw = records.read_records(spark, paths, rules.raw_schema, sep)
-        sinks.overwrite_partitioned(records.with_quarter(raw, partition), target, [partition], dynamic=True)
-    return len(paths)
+    scan = spark.read.schema(rules.raw_schema).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+    files = listing.source_files(scan.csv(source), partition)
+    manifest = _manifest(target)
+    waiting = files
+    if listing.exists(spark, manifest):
+        waiting = listing.pending(files, spark.read.parquet(manifest).select("path"), "path")
+    new = {r["path"]: r[partition] for r in waiting.collect()}
+    if new:
+        quarters = waiting.select(partition).distinct()
+        paths = [r["path"] for r in files.join(quarters, partition, "left_semi").select("path").collect()]
+        _replace(records.read_records(spark, paths, rules.raw_schema, sep), target, partition)
+    return len(new)
 
 
 def build_silver(spark: SparkSession, bronze: str, target: str, rules: CleanRules, partition: str) -> None:

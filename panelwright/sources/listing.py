@@ -33,6 +33,19 @@ def partition_values(spark: SparkSession, folder: str, column: str) -> DataFrame
     return list_files(spark, folder, "*.parquet").select(found.alias(column)).distinct()
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def source_files(records: DataFrame, column: str) -> DataFrame:
+    """``path`` of every file behind a scan, and as ``column`` the quarter that its path names; files that name none are
+    left out. The driver handles the paths; no content is read."""
+    paths = records.sparkSession.createDataFrame([(p,) for p in records.inputFiles()], "path string")
+    quarter = F.regexp_extract("path", r"(\d{4}Q\d)(?!.*\d{4}Q\d)", 1)
+    return paths.withColumn(column, quarter).where(F.col(column) != "")
+
+
 def pending(source: DataFrame, done: DataFrame, column: str) -> DataFrame:
-    """Listed source rows whose partition value is not written yet."""
+    """Listed source rows whose value of ``column`` is not among those done."""
     return source.join(done, column, "left_anti")

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from panelwright.operators import correlation, profiles, ranking, sampling
 from panelwright.functions import columns as c
@@ -47,6 +48,23 @@ def test_lookup_reaches_hot_and_cold_keys(spark):
     assert got[0] == 450.5 and got[900] == 901.0 and got[999] == 1000.0 and got[1000] is None
 
 
+def test_equal_rows_with_a_hot_key_are_spread(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        key = F.when(F.col("id") < 3600, 0.0).otherwise(F.col("id").cast("double"))
+        df = spark.range(4000).select(key.alias("x"), F.col("id").alias("_row"))
+        table = df.groupBy(F.col("x").alias("value")).agg(F.count("*").alias("n")).withColumn("rank", F.col("value") + 1)
+        found = ranking.lookup_by_value(df, "x", table, "rank", "r")
+        sizes = [r["count"] for r in found.where("x = 0").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 3600 and max(sizes) < 1200
+        assert found.where("r is null or r <> x + 1").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept[0])
+        spark.conf.set("spark.sql.adaptive.enabled", kept[1])
+
+
 def test_spearman_equals_numpy_ranks(spark):
     rng = np.random.default_rng(3)
     x = rng.integers(0, 6, 300).astype(float)

@@ -55,6 +55,19 @@ def test_resumed_ingest_neither_skips_nor_doubles(spark, tmp_path):
     assert spark.read.parquet(target).count() == 3
 
 
+def test_late_file_of_a_written_quarter_is_loaded(spark, tmp_path):
+    folder, target = _source(tmp_path), str(tmp_path / "out")
+    assert stages.ingest_pending(spark, str(folder), target, RULES, "q") == 2
+    late = folder / "2019Q4"
+    late.mkdir()
+    _write(late, "more.csv", "0009|122019|9")
+    _write(folder, "odd.csv", "0008|122019|9")
+    assert stages.ingest_pending(spark, str(folder), target, RULES, "q") == 1
+    assert stages.ingest_pending(spark, str(folder), target, RULES, "q") == 0
+    found = spark.read.parquet(target)
+    assert found.count() == 4 and found.where("q = ''").count() == 0
+
+
 def test_streaming_ingest_takes_only_new_files(spark, tmp_path):
     folder, target, state = _source(tmp_path), str(tmp_path / "out"), str(tmp_path / "state")
 
