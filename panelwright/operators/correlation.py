@@ -18,14 +18,10 @@ from panelwright.operators import ranking
 from panelwright.operators.cleaning import complete_cases
 from panelwright.session import stored
 
-PAIRWISE_LIMIT = 12
-
 
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long (row, col, value) matrix over complete rows, one aggregate for short lists."""
-    rows = complete_cases(df, columns)
-    if len(columns) > PAIRWISE_LIMIT:
-        return to_long(df.sparkSession, pearson_matrix(df, columns)[0], columns)
+    """Long (row, col, value) matrix over complete rows, by one aggregate; null where a column is constant."""
+    rows = complete_cases(df.select(*[F.col(n).cast("double").alias(n) for n in columns]), columns)
     pairs = [
         F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.corr(a, b).alias("value"))
         for a in columns
