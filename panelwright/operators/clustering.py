@@ -1,6 +1,6 @@
 """Clusterings, their internal quality, and the choice of K.
 
-Model fitting is Spark ML. Quality needs only sums per cluster and, for the
+Mixtures and bisections are Spark ML; K-Means runs all starts in one pass a round. Quality needs only sums per cluster and, for the
 Davies-Bouldin index, one pass with k centroids of d numbers at hand.
 """
 
@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
+import pandas as pd
+from pyspark import inheritable_thread_target
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, GaussianMixtureModel, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -22,24 +25,128 @@ from pyspark.sql import functions as F
 from panelwright.functions import columns as c
 
 
+#: Model fits that share the executors at a time.
+PARALLEL_FITS = 8
+
+
+def _fits(df: DataFrame, estimators: Sequence) -> list:
+    """Models of all estimators over one kept copy of the rows, a few at a time."""
+    kept = df.persist()
+    try:
+        with ThreadPool(min(PARALLEL_FITS, len(estimators))) as pool:
+            run = inheritable_thread_target(df.sparkSession)
+            return pool.map(lambda fit: fit(), [run(lambda e=e: e.fit(kept)) for e in estimators])
+    finally:
+        kept.unpersist()
+
+
+#: Rows, drawn at random, that the starting centroids are chosen among. All else covers all rows.
+START_ROWS = 20_000
+
+
+@dataclass(frozen=True)
+class Centroids:
+    centres: np.ndarray
+    cost: float
+
+
+def _spread_start(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k rows, each drawn with a chance that grows with its squared distance from those before."""
+    chosen = [x[rng.integers(len(x))]]
+    gap = ((x - chosen[0]) ** 2).sum(1)
+    for _ in range(1, k):
+        share = gap / gap.sum() if gap.sum() > 0 else None
+        chosen.append(x[rng.choice(len(x), p=share)])
+        gap = np.minimum(gap, ((x - chosen[-1]) ** 2).sum(1))
+    return np.stack(chosen)
+
+
+def kmeans_fits(
+    df: DataFrame,
+    ks: Sequence[int],
+    column: str = "features",
+    starts: int = 20,
+    rounds: int = 500,
+    seed: int = 42,
+    tol: float = 1e-4,
+) -> dict[int, Centroids]:
+    """For each K the best of several starts by within-cluster cost.
+
+    A round is one pass over kept rows that serves every start of every K still moving, instead of a pass for each;
+    a task sends k x d sums per start. A centroid without rows stays where it is.
+    """
+    rows = df.select(vector_to_array(column).alias("x")).where("x IS NOT NULL").persist()
+    try:
+        sample = _matrix(rows.orderBy(F.rand(seed)).limit(START_ROWS).toPandas()["x"])
+        rng = np.random.default_rng(seed)
+        centres = {(k, i): _spread_start(sample, k, rng) for k in ks for i in range(starts)}
+        cost: dict[tuple[int, int], float] = {}
+        active = list(centres)
+        for _ in range(rounds):
+            found, at = _summed(rows, _cluster_sums({c: centres[c] for c in active})), 0
+            for c in list(active):
+                k, d = centres[c].shape
+                total, n = found[at : at + k * d].reshape(k, d), found[at + k * d : at + k * d + k]
+                cost[c] = float(found[at + k * d + k])
+                at += k * d + k + 1
+                new = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], centres[c])
+                if np.sqrt(((new - centres[c]) ** 2).sum(1)).max() < tol:
+                    active.remove(c)
+                centres[c] = new
+            if not active:
+                break
+    finally:
+        rows.unpersist()
+    best = {k: min(((k, i) for i in range(starts)), key=cost.get) for k in ks}
+    return {k: Centroids(centres[c], cost[c]) for k, c in best.items()}
+
+
+def _cluster_sums(centres: dict):
+    """Per set of centroids the sums and numbers of the rows nearest to each, and the cost, of a batch."""
+
+    def compute(x: np.ndarray) -> np.ndarray:
+        norm, out = (x**2).sum(1), []
+        for m in centres.values():
+            gap = norm[:, None] - 2 * x @ m.T + (m**2).sum(1)
+            near = gap.argmin(1)
+            own = np.eye(len(m))[near]
+            least = np.maximum(gap[np.arange(len(x)), near], 0).sum()
+            out += [(own.T @ x).ravel(), own.sum(0), [least]]
+        return np.concatenate(out)
+
+    return compute
+
+
 def kmeans(
     df: DataFrame, k: int, column: str = "features", starts: int = 20, rounds: int = 500, seed: int = 42
-) -> KMeansModel:
-    """Best of several starts by within-cluster cost."""
-    base = KMeans(k=k, featuresCol=column, maxIter=rounds, initMode="k-means||")
-    models = [base.copy({base.seed: seed + i}).fit(df) for i in range(starts)]
-    return min(models, key=lambda m: m.summary.trainingCost)
+) -> Centroids:
+    return kmeans_fits(df, [k], column, starts, rounds, seed)[k]
+
+
+def _mixture_starts(k: int, column: str, starts: int, rounds: int, seed: int) -> list[GaussianMixture]:
+    return [GaussianMixture(k=k, featuresCol=column, maxIter=rounds, seed=seed + i) for i in range(starts)]
 
 
 def gaussian_mixture(
-    df: DataFrame, k: int, column: str = "features", starts: int = 1, rounds: int = 100, seed: int = 42
+    df: DataFrame, k: int, column: str = "features", starts: int = 10, rounds: int = 300, seed: int = 42
 ) -> GaussianMixtureModel:
-    base = GaussianMixture(k=k, featuresCol=column, maxIter=rounds)
-    models = [base.copy({base.seed: seed + i}).fit(df) for i in range(starts)]
+    """Best of several starts by likelihood."""
+    models = _fits(df.select(column), _mixture_starts(k, column, starts, rounds, seed))
     return max(models, key=lambda m: m.summary.logLikelihood)
 
 
-def label(df: DataFrame, model, alias: str) -> DataFrame:
+def label(df: DataFrame, model, alias: str, column: str = "features") -> DataFrame:
+    """Adds the cluster of each row, from centroids or a fitted Spark model."""
+    if isinstance(model, Centroids):
+        centres = model.centres
+
+        @F.pandas_udf("int")
+        def nearest(vector: pd.Series) -> pd.Series:
+            if not len(vector):
+                return pd.Series([], dtype="int32")
+            return pd.Series(_distances2(_matrix(vector), centres).argmin(1).astype("int32"))
+
+        return df.withColumn(alias, nearest(vector_to_array(column)))
     drop = [x for x in ("prediction", "probability") if x in df.columns]
     return model.transform(df.drop(*drop)).withColumnRenamed("prediction", alias)
 
@@ -66,8 +173,6 @@ def aic(log_likelihood: float, k: int, d: int) -> float:
 
 def log_likelihood(df: DataFrame, model: GaussianMixtureModel, column: str = "features") -> float:
     """Log-likelihood of rows the mixture was not fitted on, summed in Arrow batches."""
-    import pandas as pd
-
     parts = []
     for weight, g in zip(model.weights, model.gaussians, strict=True):
         cov = g.cov.toArray()
@@ -127,7 +232,7 @@ def hierarchical(
 ) -> DataFrame:
     """Ward grouping of many small K-Means clusters. All rows are clustered by Spark;
     only the ``micro`` centroids and sizes are grouped by the driver."""
-    model = kmeans(df, micro, column, starts=1, rounds=30, seed=seed)
+    model = KMeans(k=micro, featuresCol=column, maxIter=30, seed=seed).fit(df)
     sizes = np.array(model.summary.clusterSizes, float)
     groups = ward_groups(np.array(model.clusterCenters()), np.maximum(sizes, 1e-9), k)
     lookup = F.array(*[F.lit(int(g)) for g in groups])
@@ -158,13 +263,13 @@ def cluster_sums(df: DataFrame, labels: str, column: str = "features") -> DataFr
     )
 
 
-def _array(values: np.ndarray) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+def _matrix(values: pd.Series) -> np.ndarray:
+    return np.stack(values.to_numpy()).astype(float)
 
 
-def _distance2(vector: Column, centre: Column) -> Column:
-    gaps = F.zip_with(vector, centre, lambda a, b: (a - b) * (a - b))
-    return F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x)
+def _distances2(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distance of every row to every centre."""
+    return np.stack([((x - m) ** 2).sum(1) for m in centres], axis=1)
 
 
 def internal_indices(df: DataFrame, labels: str, column: str = "features") -> dict[str, float]:
@@ -177,12 +282,17 @@ def internal_indices(df: DataFrame, labels: str, column: str = "features") -> di
     grand = (n[:, None] * centre).sum(0) / n.sum()
     between = (n * ((centre - grand) ** 2).sum(1)).sum()
     k = len(names)
-    table = F.create_map(*[x for i, name in enumerate(names) for x in (F.lit(name), _array(centre[i]))])
+    place = {name: i for i, name in enumerate(names)}
+
+    @F.pandas_udf("double")
+    def to_centre(own: pd.Series, vector: pd.Series) -> pd.Series:
+        if not len(own):
+            return pd.Series([], dtype=float)
+        gap = _matrix(vector) - centre[[place[x] for x in own]]
+        return pd.Series(np.sqrt((gap**2).sum(1)))
+
     spread = (
-        df.select(
-            labels,
-            F.sqrt(_distance2(vector_to_array(column), F.element_at(table, F.col(labels)))).alias("d"),
-        )
+        df.select(labels, to_centre(labels, vector_to_array(column)).alias("d"))
         .groupBy(labels)
         .agg(F.avg("d").alias("d"))
         .orderBy(labels)
@@ -237,12 +347,17 @@ def composite_score(sweep: DataFrame) -> DataFrame:
 
 
 def kmeans_sweep(
-    df: DataFrame, ks: Sequence[int], column: str = "features", starts: int = 20, seed: int = 42
+    df: DataFrame,
+    ks: Sequence[int],
+    column: str = "features",
+    starts: int = 20,
+    rounds: int = 500,
+    seed: int = 42,
 ) -> DataFrame:
+    """Quality of the best of several starts for each K."""
     rows = []
-    for k in ks:
-        labelled = label(df, kmeans(df, k, column, starts, seed=seed), "_label")
-        _, sil, ch, db = quality(labelled, "_label", str(k), column)
+    for k, best in kmeans_fits(df, ks, column, starts, rounds, seed).items():
+        _, sil, ch, db = quality(label(df, best, "_label", column), "_label", str(k), column)
         rows.append((k, sil, ch, db))
     schema = "k int, silhouette double, calinski_harabasz double, davies_bouldin double"
     return composite_score(df.sparkSession.createDataFrame(rows, schema))
@@ -258,12 +373,19 @@ def generalisation(table: DataFrame) -> DataFrame:
 
 
 def mixture_sweep(
-    train: DataFrame, validation: DataFrame, ks: Sequence[int], column: str = "features", starts: int = 5, seed: int = 42
+    train: DataFrame,
+    validation: DataFrame,
+    ks: Sequence[int],
+    column: str = "features",
+    starts: int = 5,
+    rounds: int = 100,
+    seed: int = 42,
 ) -> DataFrame:
     n_train, n_val = train.count(), validation.count()
+    models = _fits(train.select(column), [e for k in ks for e in _mixture_starts(k, column, starts, rounds, seed)])
     rows = []
-    for k in ks:
-        model = gaussian_mixture(train, k, column, starts, seed=seed)
+    for i, k in enumerate(ks):
+        model = max(models[i * starts : (i + 1) * starts], key=lambda m: m.summary.logLikelihood)
         d = len(model.gaussians[0].mean)
         fitted = model.summary.logLikelihood
         rows.append(
@@ -281,27 +403,39 @@ def mixture_sweep(
 # --- soft assignment and its refinement ------------------------------------------------------
 
 
-def soft_assignment(df: DataFrame, array: str, centroids: np.ndarray, alpha: float = 1.0) -> DataFrame:
-    """Adds ``q``: Student-t similarity to each centroid, normalised per row."""
-    power = -(alpha + 1) / 2
-    kernel = [
-        F.pow(1 + _distance2(F.col(array), _array(m)) / alpha, F.lit(power)) for m in centroids
-    ]
-    return _normalised(df.withColumn("q", F.array(*kernel)), "q")
+def _soft(x: np.ndarray, centroids: np.ndarray, alpha: float) -> np.ndarray:
+    """Student-t similarity of every row to each centroid, normalised per row."""
+    kernel = (1 + _distances2(x, centroids) / alpha) ** (-(alpha + 1) / 2)
+    return kernel / kernel.sum(1, keepdims=True)
 
 
-def _normalised(df: DataFrame, column: str) -> DataFrame:
-    total = F.aggregate(F.col(column), F.lit(0.0), lambda acc, x: acc + x)
-    return df.withColumn("_total", total).withColumn(
-        column, F.transform(column, lambda x: x / F.col("_total"))
-    ).drop("_total")
+def _sharp(q: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    p = q * q / sums
+    return p / p.sum(1, keepdims=True)
+
+
+def _row_function(compute):
+    """A column function over arrays, computed on Arrow batches; null stays null."""
+
+    @F.pandas_udf("array<double>")
+    def run(values: pd.Series) -> pd.Series:
+        some = values.notna()
+        rows = iter(compute(_matrix(values[some])) if some.any() else [])
+        return pd.Series([next(rows) if x else None for x in some], dtype=object)
+
+    return run
+
+
+def soft_assignment(df: DataFrame, array: str, centroids: np.ndarray, alpha: float = 1.0) -> DataFrame:
+    """Adds ``q``: Student-t similarity to each centroid, normalised per row."""
+    return df.withColumn("q", _row_function(lambda x: _soft(x, centroids, alpha))(F.col(array)))
 
 
 def target_distribution(df: DataFrame, k: int) -> DataFrame:
     """Adds ``p``: squared assignments over their column sums, normalised per row."""
     sums = df.agg(F.array(*[F.sum(F.get("q", F.lit(j))) for j in range(k)]).alias("f")).first()["f"]
-    sharp = F.zip_with("q", F.array(*[F.lit(float(s)) for s in sums]), lambda q, f: q * q / f)
-    return _normalised(df.withColumn("p", sharp), "p")
+    f = np.array(sums, float)
+    return df.withColumn("p", _row_function(lambda q: _sharp(q, f))(F.col("q")))
 
 
 def hard_label(column: str) -> Column:
@@ -320,38 +454,53 @@ def label_change(df: DataFrame, before: str, after: str) -> DataFrame:
     return df.agg(F.avg((F.col(before) != F.col(after)).cast("double")).alias("changed"))
 
 
+def _summed(rows: DataFrame, compute) -> np.ndarray:
+    """Sum over all rows of a fixed-length vector that ``compute`` gives for a batch of them; one pass."""
+
+    def partial(batches):
+        total = None
+        for pdf in batches:
+            if len(pdf):
+                part = compute(_matrix(pdf["x"]))
+                total = part if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame({"i": np.arange(len(total)), "v": total})
+
+    summed = rows.mapInPandas(partial, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
+    return summed.toPandas().sort_values("i")["v"].to_numpy()
+
+
 def refine(
-    df: DataFrame, array: str, centroids: np.ndarray, rounds: int = 30, tol: float = 0.001, alpha: float = 1.0
+    df: DataFrame, array: str, centroids: np.ndarray, rounds: int = 500, tol: float = 0.001, alpha: float = 1.0
 ) -> tuple[np.ndarray, list[tuple[int, float, float]]]:
     """Moves the centroids to the target-weighted means until few labels change.
 
-    Per round: one aggregate for the column sums, one for k x d weighted sums, the
-    divergence and the share of changed labels. Returns the centroids and the log.
+    Two passes a round over kept rows, as the target needs the assignments' column sums first: k sums, then k x d weighted
+    sums, k weights, the divergence and the changed labels. Returns the centroids and the log.
     """
     k, d = centroids.shape
     log: list[tuple[int, float, float]] = []
     previous: np.ndarray | None = None
-    for i in range(rounds):
-        q = soft_assignment(df, array, centroids, alpha)
-        if previous is not None:
-            q = soft_assignment(q.withColumnRenamed("q", "q_now"), array, previous, alpha)
-            q = q.withColumn("old", hard_label("q")).drop("q").withColumnRenamed("q_now", "q")
-        else:
-            q = q.withColumn("old", hard_label("q"))
-        p = target_distribution(q, k)
-        terms = F.zip_with("p", "q", lambda a, b: F.when(a > 0, a * F.ln(a / b)).otherwise(0.0))
-        kl = F.sum(F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)) / F.count("*")
-        moved = F.avg((hard_label("q") != F.col("old")).cast("double"))
-        cells = p.select(
-            "p", F.posexplode(array).alias("dim", "x")
-        ).groupBy("dim").agg(
-            *[F.sum(F.get("p", F.lit(j)) * F.col("x")).alias(f"s{j}") for j in range(k)],
-            *[F.sum(F.get("p", F.lit(j))).alias(f"w{j}") for j in range(k)],
-        ).orderBy("dim").collect()
-        row = p.agg(kl.alias("kl"), moved.alias("moved")).first()
-        log.append((i, float(row["kl"]), float(row["moved"])))
-        if previous is not None and row["moved"] < tol:
-            break
-        previous = centroids
-        centroids = np.array([[r[f"s{j}"] / r[f"w{j}"] for r in cells] for j in range(k)])
+    rows = df.select(F.col(array).alias("x")).where("x IS NOT NULL").persist()
+    try:
+        n = rows.count()
+        for i in range(rounds):
+            sums = _summed(rows, lambda x, m=centroids: _soft(x, m, alpha).sum(0))
+
+            def moments(x: np.ndarray, now=centroids, old=previous, sums=sums) -> np.ndarray:
+                q = _soft(x, now, alpha)
+                p = _sharp(q, sums)
+                kl = (p * np.log(np.where(p > 0, p / q, 1.0))).sum()
+                moved = 0 if old is None else (q.argmax(1) != _soft(x, old, alpha).argmax(1)).sum()
+                return np.concatenate([(p.T @ x).ravel(), p.sum(0), [kl, moved]])
+
+            found = _summed(rows, moments)
+            kl, moved = found[-2] / n, found[-1] / n
+            log.append((i, float(kl), float(moved)))
+            if previous is not None and moved < tol:
+                break
+            previous = centroids
+            centroids = found[: k * d].reshape(k, d) / found[k * d : k * d + k, None]
+    finally:
+        rows.unpersist()
     return centroids, log

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,15 +40,6 @@ def fit_pca(df: DataFrame, k: int, column: str = "features") -> PcaFit:
     return PcaFit(pc * sign, mean, model.explainedVariance.toArray())
 
 
-def _literal(values: np.ndarray) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
-def _dot(vector: Column, weights: np.ndarray) -> Column:
-    products = F.zip_with(vector, _literal(weights), lambda a, b: a * b)
-    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
-
-
 def _per_batch(df: DataFrame, schema: str, compute, columns: Sequence[str]) -> DataFrame:
     """Run a numpy function on (key columns, matrix) batches of the narrowed frame."""
 
@@ -173,59 +164,88 @@ def _symmetric(w: np.ndarray) -> np.ndarray:
     return vectors @ np.diag(1 / np.sqrt(values)) @ vectors.T @ w
 
 
-def fit_ica(
-    df: DataFrame, n: int, column: str = "features", seed: int = 42, rounds: int = 200, tol: float = 1e-4
-) -> IcaFit:
-    """FastICA (log-cosh, all components together) on PCA-whitened vectors.
+def fit_icas(
+    df: DataFrame,
+    numbers: Sequence[int],
+    column: str = "features",
+    seed: int = 42,
+    rounds: int = 200,
+    tol: float = 1e-4,
+) -> dict[int, IcaFit]:
+    """FastICA (log-cosh, all components together) on PCA-whitened vectors, for several numbers of components.
 
-    Every round is one pass that sends n x n + n sums per task; whitening and the
+    The vectors are whitened with the largest number; a smaller one takes the leading dimensions. Every round is one
+    pass for all numbers that have not converged, and sends n x n + n sums per number and task; whitening and the
     update work on n x n matrices.
     """
-    fit = fit_pca(df, n, column)
+    most = max(numbers)
+    fit = fit_pca(df, most, column)
     rows = df.select(vector_to_array(column).alias("x")).persist()
     try:
         variance = (
             project(df.withColumn("_k", F.lit(1)), "_k", fit, column)
-            .agg(*[F.var_pop(f"z{i}").alias(f"v{i}") for i in range(n)])
+            .agg(*[F.var_pop(f"z{i}").alias(f"v{i}") for i in range(most)])
             .first()
         )
         whiten = fit.components / np.sqrt(np.maximum(np.array(list(variance), float), 1e-12))
-        w = _symmetric(np.random.default_rng(seed).normal(size=(n, n)))
-        mean, done = fit.mean, 0
+        turns = {n: _symmetric(np.random.default_rng(seed).normal(size=(n, n))) for n in numbers}
+        used = dict.fromkeys(numbers, rounds)
+        active = list(turns)
         for done in range(1, rounds + 1):
-            current = w
-
-            def partial(batches: Iterator[pd.DataFrame], current=current) -> Iterator[pd.DataFrame]:
-                total, slope, count = np.zeros((n, n)), np.zeros(n), 0
-                for pdf in batches:
-                    if not len(pdf):
-                        continue
-                    z = (np.stack(pdf["x"].to_numpy()) - mean) @ whiten
-                    g = np.tanh(z @ current.T)
-                    total += g.T @ z
-                    slope += (1 - g * g).sum(0)
-                    count += len(z)
-                flat = np.concatenate([total.ravel(), slope, [count]])
-                yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat})
-
-            sums = (
-                rows.mapInPandas(partial, "i int, v double")
-                .groupBy("i")
-                .agg(F.sum("v").alias("v"))
-                .orderBy("i")
-                .toPandas()["v"]
-                .to_numpy()
-            )
-            total, slope, count = sums[: n * n].reshape(n, n), sums[n * n : -1], sums[-1]
-            new = _symmetric(total / count - np.diag(slope / count) @ w)
-            moved = np.abs(np.abs((new * w).sum(1)) - 1).max()
-            w = new
-            if moved < tol:
+            sums = _ica_sums(rows, fit.mean, whiten, {n: turns[n] for n in active})
+            for n in list(active):
+                total, slope, count = sums[n]
+                new = _symmetric(total / count - np.diag(slope / count) @ turns[n])
+                moved = np.abs(np.abs((new * turns[n]).sum(1)) - 1).max()
+                turns[n] = new
+                if moved < tol:
+                    used[n] = done
+                    active.remove(n)
+            if not active:
                 break
     finally:
         rows.unpersist()
-    unmixing = whiten @ w.T
-    return IcaFit(unmixing, fit.mean, np.linalg.pinv(unmixing).T, done)
+    found = {}
+    for n, w in turns.items():
+        unmixing = whiten[:, :n] @ w.T
+        found[n] = IcaFit(unmixing, fit.mean, np.linalg.pinv(unmixing).T, used[n])
+    return found
+
+
+def _ica_sums(
+    rows: DataFrame, mean: np.ndarray, whiten: np.ndarray, turns: dict[int, np.ndarray]
+) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """Per number of components the sums of g(wz) z' and g'(wz), and the count, in one pass over the rows."""
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = {n: np.zeros((n, n)) for n in turns}
+        slope = {n: np.zeros(n) for n in turns}
+        count = 0
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            z = (np.stack(pdf["x"].to_numpy()) - mean) @ whiten
+            count += len(z)
+            for n, w in turns.items():
+                g = np.tanh(z[:, :n] @ w.T)
+                total[n] += g.T @ z[:, :n]
+                slope[n] += (1 - g * g).sum(0)
+        flat = np.concatenate([*[np.append(total[n].ravel(), slope[n]) for n in turns], [count]])
+        yield pd.DataFrame({"i": np.arange(len(flat)), "v": flat})
+
+    summed = rows.mapInPandas(partial, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
+    values, at, out = summed.toPandas().sort_values("i")["v"].to_numpy(), 0, {}
+    for n in turns:
+        square = values[at : at + n * n].reshape(n, n)
+        out[n] = (square, values[at + n * n : at + n * n + n], values[-1])
+        at += n * n + n
+    return out
+
+
+def fit_ica(
+    df: DataFrame, n: int, column: str = "features", seed: int = 42, rounds: int = 200, tol: float = 1e-4
+) -> IcaFit:
+    return fit_icas(df, [n], column, seed, rounds, tol)[n]
 
 
 def ica_scores(df: DataFrame, key: str, fit: IcaFit, column: str = "features") -> DataFrame:
@@ -240,16 +260,19 @@ def kurtosis_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*cells).alias("cells")).selectExpr("inline(cells)")
 
 
-def choose_components(
-    df: DataFrame, key: str, candidates: Sequence[int], column: str = "features", rounds: int = 200
-) -> DataFrame:
-    """Mean absolute kurtosis of the components for each candidate number; the best is marked."""
-    scored = []
-    for n in candidates:
-        scores = ica_scores(df, key, fit_ica(df, n, column, rounds=rounds), column)
+def score_components(df: DataFrame, key: str, fits: dict[int, IcaFit], column: str = "features") -> dict[int, float]:
+    """Mean absolute kurtosis of the components of each fit."""
+    scored = {}
+    for n, fit in fits.items():
+        scores = ica_scores(df, key, fit, column)
         table = kurtosis_table(scores, scores.columns[1:])
-        scored.append((n, float(table.agg(F.avg(F.abs("kurtosis"))).first()[0])))
-    best = max(scored, key=lambda item: item[1])[0]
-    return df.sparkSession.createDataFrame(
-        [(n, v, int(n == best)) for n, v in scored], "n int, mean_abs_kurtosis double, best int"
+        scored[n] = float(table.agg(F.avg(F.abs("kurtosis"))).first()[0])
+    return scored
+
+
+def component_table(spark: SparkSession, scored: dict[int, float]) -> DataFrame:
+    """The scores per number of components; the best is marked."""
+    best = max(scored, key=scored.get)
+    return spark.createDataFrame(
+        [(n, v, int(n == best)) for n, v in scored.items()], "n int, mean_abs_kurtosis double, best int"
     )

@@ -14,6 +14,8 @@ from panelwright.workload.book import Book
 
 book = Book()
 GOLD = f"WITH {fx.gold_cte()}"
+#: Numbers of clusters that are tried.
+K_RANGE = range(3, 9)
 
 
 def _vectors(spark, sf):
@@ -23,41 +25,36 @@ def _vectors(spark, sf):
 @book.query("m27_kmeans")
 def m27(spark, sf):
     rows = _vectors(spark, sf)
-    out = clustering.label(rows, clustering.kmeans(rows, 6, starts=3, rounds=50), "cluster")
+    out = clustering.label(rows, clustering.kmeans(rows, 6), "cluster")
     return out.select("vec_id", "cluster")
 
 
+def _scores(spark, sf):
+    return embedding_book.independent_scores(spark, sf)
+
+
 @book.query("m28_gaussian_mixture")
 def m28(spark, sf):
-    rows = _low_dimensional(spark, sf)
-    model = clustering.gaussian_mixture(rows, 3, rounds=20)
+    rows = _scores(spark, sf)
+    model = clustering.gaussian_mixture(rows, 3)
     return clustering.mixture_labels(rows, model, "cluster").select("vec_id", "cluster", "uncertainty")
 
 
-def _low_dimensional(spark, sf, d=4):
-    """The first few dimensions, where full covariances are well conditioned."""
-    rows = fx.read(spark, sf, "embeddings")
-    short = rows.select("vec_id", "label", F.slice("embedding", 1, d).alias("embedding"))
-    from panelwright.operators.embedding import as_vector
-
-    return as_vector(short, "embedding")
-
-
 @book.query("m29_mixture_bic_aic")
 def m29(spark, sf):
-    rows = _low_dimensional(spark, sf)
+    rows = _scores(spark, sf)
     n, found = rows.count(), []
-    for k in (2, 3):
-        model = clustering.gaussian_mixture(rows, k, rounds=20)
-        ll = model.summary.logLikelihood
-        found.append((k, clustering.mixture_parameters(k, 4), clustering.bic(ll, k, 4, n), clustering.aic(ll, k, 4)))
+    for k in K_RANGE:
+        model = clustering.gaussian_mixture(rows, k, starts=5, rounds=100)
+        ll, d = model.summary.logLikelihood, len(model.gaussians[0].mean)
+        found.append((k, clustering.mixture_parameters(k, d), clustering.bic(ll, k, d, n), clustering.aic(ll, k, d)))
     return spark.createDataFrame(found, "k int, parameters int, bic double, aic double")
 
 
 @book.query("m30_hierarchical_ward")
 def m30(spark, sf):
     rows = _vectors(spark, sf)
-    return clustering.hierarchical(rows, 6, micro=40).select("vec_id", "cluster")
+    return clustering.hierarchical(rows, 6).select("vec_id", "cluster")
 
 
 @book.query("m30_bisecting_kmeans")
@@ -111,14 +108,14 @@ def m32(spark, sf):
 
 @book.query("m33_kmeans_sweep")
 def m33(spark, sf):
-    return clustering.kmeans_sweep(_vectors(spark, sf), range(3, 9), starts=1)
+    return clustering.kmeans_sweep(_vectors(spark, sf), K_RANGE)
 
 
 @book.query("m34_generalisation_ratio")
 def m34(spark, sf):
-    rows = sampling.hash_split(_low_dimensional(spark, sf), "vec_id", 0.8, 42)
+    rows = sampling.hash_split(_scores(spark, sf), "vec_id", 0.8, 42)
     train, validation = (rows.where(F.col("split") == s).drop("split") for s in ("train", "validation"))
-    return clustering.mixture_sweep(train, validation, (2, 3, 4), starts=1)
+    return clustering.mixture_sweep(train, validation, K_RANGE)
 
 
 def _label_means(spark, sf):
@@ -182,21 +179,23 @@ def m37_change(spark, sf):
 @book.query("m38_centroid_refinement")
 def m38(spark, sf):
     rows = fx.read(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
-    _, log = clustering.refine(rows, "x", _label_means(spark, sf), rounds=4)
+    _, log = clustering.refine(rows, "x", _label_means(spark, sf))
     return spark.createDataFrame(log, "round int, kl double, changed double")
 
 
 @book.query("m39_method_comparison")
 def m39(spark, sf):
-    rows = _vectors(spark, sf)
-    km = clustering.label(rows, clustering.kmeans(rows, 6, starts=2, rounds=50), "cluster")
-    bisected = clustering.label(rows, clustering.bisecting(rows, 6), "cluster")
-    ward = clustering.hierarchical(rows, 6, micro=40)
-    found = [
-        clustering.quality(df, "cluster", name)
-        for name, df in (("k-means", km), ("bisecting", bisected), ("ward", ward))
-    ]
-    return clustering.compare(spark, found)
+    rows = _scores(spark, sf)
+    model = clustering.kmeans(rows, 6)
+    centres, _ = clustering.refine(rows, "x", model.centres)
+    soft = clustering.soft_assignment(rows, "x", centres)
+    labelled = {
+        "k-means": clustering.label(rows, model, "cluster"),
+        "mixture": clustering.mixture_labels(rows, clustering.gaussian_mixture(rows, 6), "cluster"),
+        "ward": clustering.hierarchical(rows, 6),
+        "soft assignment": soft.withColumn("cluster", clustering.hard_label("q")),
+    }
+    return clustering.compare(spark, [clustering.quality(df, "cluster", name) for name, df in labelled.items()])
 
 
 # four labellings of the loans by rule, so that both engines have the same labels

@@ -114,12 +114,38 @@ def m24(spark, sf):
 @book.query("m25_independent_components")
 def m25(spark, sf):
     rows = vectors(spark, sf)
-    return embedding.ica_scores(rows, "vec_id", embedding.fit_ica(rows, 6, rounds=30))
+    return embedding.ica_scores(rows, "vec_id", embedding.fit_ica(rows, 6))
+
+
+#: Numbers of independent components that are tried.
+COMPONENTS = range(5, 21)
+_fits: dict[tuple, tuple] = {}
+
+
+def _component_fits(spark, sf):
+    """The fits of all numbers of components and their mean absolute kurtosis, made once a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _fits:
+        rows = vectors(spark, sf)
+        fits = embedding.fit_icas(rows, COMPONENTS)
+        _fits[key] = fits, embedding.score_components(rows, "vec_id", fits)
+    return _fits[key]
 
 
 @book.query("m25_component_number_by_kurtosis")
 def m25_choice(spark, sf):
-    return embedding.choose_components(vectors(spark, sf), "vec_id", range(5, 8), rounds=12)
+    return embedding.component_table(spark, _component_fits(spark, sf)[1])
+
+
+def independent_scores(spark, sf):
+    """Independent components of the vectors, their number chosen by kurtosis, as ``features``; written once."""
+
+    def build():
+        fits, scored = _component_fits(spark, sf)
+        scores = embedding.ica_scores(vectors(spark, sf), "vec_id", fits[max(scored, key=scored.get)])
+        return scores.select("vec_id", F.array(*scores.columns[1:]).alias("x"))
+
+    return embedding.as_vector(fx.table(spark, sf, "independent_scores", build), "x")
 
 
 @book.query(

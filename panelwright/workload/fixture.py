@@ -244,7 +244,7 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 _stored: dict[tuple[str, str, str], str] = {}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A stage of the flow, written once per session to the shared scratch folder and
     read from there by everything that follows, as in production."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
@@ -256,12 +256,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 
 
 def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "bronze", lambda: raw_panel(spark, sf_dir))
+    return table(spark, sf_dir, "bronze", lambda: raw_panel(spark, sf_dir))
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = mortgage.CLEAN
-    return _table(spark, sf_dir, "silver", lambda: cleaning.clean(bronze_table(spark, sf_dir), rules))
+    return table(spark, sf_dir, "silver", lambda: cleaning.clean(bronze_table(spark, sf_dir), rules))
 
 
 def loan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +269,7 @@ def loan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         panel = collapse.collapse(silver_table(spark, sf_dir), mortgage.PANEL)
         return risk.derive(panel, mortgage.RISK)
 
-    return _table(spark, sf_dir, "loans", build)
+    return table(spark, sf_dir, "loans", build)
 
 
 # --- DuckDB side --------------------------------------------------------------------
