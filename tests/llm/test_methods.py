@@ -142,6 +142,16 @@ def test_fuzzy_passages(spark):
     assert left[1] == docs[0][1] and len(left[2].split()) == 130 and left[6] is None and left[7] == ""
 
 
+@pytest.mark.parametrize("sizes", [(100, 100, 60), (500, 300, 100), (450, 70, 450), (100, 61, 60), (200, 500, 80), (100, 50, 60)])
+def test_second_passage_of_a_pair_is_found(spark, sizes):
+    rng = random.Random(12)
+    first, second = _prose(rng, sizes[0]), _prose(rng, sizes[2])
+    docs = [(i, " ".join(_prose(rng, 40) + first + _prose(rng, sizes[1]) + second + _prose(rng, 40))) for i in (1, 2)]
+    got = chaining.passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    at = 40 + sizes[0] + sizes[1]
+    assert sorted((r["start"], r["end"]) for r in got) == [(40, 40 + sizes[0]), (at, at + sizes[2])]
+
+
 def test_many_copies_make_few_matches(spark):
     rng = random.Random(4)
     text = " ".join(_prose(rng, 120))
