@@ -152,6 +152,19 @@ def test_second_passage_of_a_pair_is_found(spark, sizes):
     assert sorted((r["start"], r["end"]) for r in got) == [(40, 40 + sizes[0]), (at, at + sizes[2])]
 
 
+def test_passage_whose_parts_occur_earlier_elsewhere(spark):
+    rng = random.Random(21)
+    passage = _prose(rng, 60)
+    around = lambda x: " ".join(_prose(rng, 30) + x + _prose(rng, 30))
+    parts = [passage[:30], passage[30:], passage, passage]  # as in the advice
+    more = _prose(rng, 70)
+    # many partial copies before and between, and an exact copy at the end
+    parts += [more[:35], more[35:]] * 4 + [more] + [more[:35], more[35:]] * 4 + [more]
+    docs = [(i + 1, around(x)) for i, x in enumerate(parts)]
+    got = chaining.passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["source_id"], r["start"], r["end"]) for r in got} == {(4, 3, 30, 90), (22, 13, 30, 100)}
+
+
 def test_many_copies_make_few_matches(spark):
     rng = random.Random(4)
     text = " ".join(_prose(rng, 120))
