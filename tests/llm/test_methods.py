@@ -165,6 +165,26 @@ def test_passage_whose_parts_occur_earlier_elsewhere(spark):
     assert {(r["doc_id"], r["source_id"], r["start"], r["end"]) for r in got} == {(4, 3, 30, 90), (22, 13, 30, 100)}
 
 
+def test_passages_at_the_least_similarity(spark):
+    rng = random.Random(31)
+    docs, wanted = [], set()
+    for case in range(60):
+        n = rng.choice([50, 55, 60, 80])
+        passage = _prose(rng, n)
+        edited = list(passage)
+        at = range(case % 5, n, 5) if case < 20 else rng.sample(range(n), n // 5)
+        for i in at:
+            edited[i] = f"changed{case}x{i}"
+        same = [x == y for x, y in zip(passage, edited)]
+        runs = [(i, j) for i in range(n) for j in range(i + 50, n + 1) if same[i] and same[j - 1]]
+        if any(sum(same[i:j]) >= 0.8 * (j - i) for i, j in runs):  # all stretches, by brute force
+            wanted.add(2 * case + 1)
+        docs += [(2 * case + k, " ".join(_prose(rng, 30) + x + _prose(rng, 30))) for k, x in enumerate((passage, edited))]
+    got = {r["doc_id"]: r for r in chaining.passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert len(wanted) > 20 and wanted <= set(got)
+    assert all(r["similarity"] >= 0.8 and r["source_id"] == d - 1 for d, r in got.items())
+
+
 def test_many_copies_make_few_matches(spark):
     rng = random.Random(4)
     text = " ".join(_prose(rng, 120))
