@@ -1,8 +1,8 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
 Patterns find what is written in full. A token with a digit or an @ is a node of the field: it has a unary potential from
-its shape and neighbours, a chain potential with the next token, and a skip potential with the previous token of the document
-that repeats it or resembles it. Tokens inside a pattern's span are observed. Loopy message passing carries these
+its shape and neighbours, a chain potential with the next token, and a skip potential with one token of the document for all
+that repeat or resemble it: the first observed one, else the first. Tokens inside a pattern's span are observed. Loopy message passing carries these
 labels along the chain and the skip edges, so a phone number that is written in full once is found again where only
 its local part stands. All other tokens are no nodes: their label is certain.
 
@@ -30,8 +30,12 @@ TRAIN_DOCS = 3000
 #: Tokens of one document that enter the training.
 TRAIN_TOKENS = 200
 BUCKETS = 4096
+#: Log potential of the labels that an observed token doesn't have.
+OBSERVED = -1e9
 FEATURES = 4
-ROUNDS = 15
+#: Messages go on until none moves by more than MOVED; loops that never settle end after ROUNDS.
+MOVED = 1e-3
+ROUNDS = 1000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -234,13 +238,19 @@ def train(found: DataFrame, rounds: int = 150) -> Model:
 
 
 def _edges(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ends of all edges of a batch of documents, and whether each is a skip edge. A token is linked to the previous
-    one with its key, so edges grow with the tokens and not with the pairs of repeats."""
+    """Ends of all edges of a batch of documents, and whether each is a skip edge. All tokens
+    with a key are linked to the first observed one, else to the first, so edges grow with the tokens and not with the
+    pairs of repeats, and evidence reaches every repeat in two steps."""
     a, b, skip = [], [], []
     at = 0
     for r in rows:
         token = r["token"]
-        seen: dict[tuple[str, int], int] = {}
+        middle: dict[tuple[str, int], int] = {}
+        for observed in (True, False):
+            for i, own in enumerate(r["label"]):
+                if bool(own) == observed:
+                    for name in ("same", "alike"):
+                        middle.setdefault((name, r[name][i]), i)
         for i in range(len(token)):
             if i and token[i] == token[i - 1] + 1:
                 a.append(at + i - 1)
@@ -248,18 +258,17 @@ def _edges(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 skip.append(False)
             for name in ("same", "alike"):
                 key = (name, r[name][i])
-                if key[1] >= 0:
-                    if key in seen:
-                        a.append(at + seen[key])
-                        b.append(at + i)
-                        skip.append(True)
-                    seen[key] = i
+                if key[1] >= 0 and middle[key] != i:
+                    a.append(at + middle[key])
+                    b.append(at + i)
+                    skip.append(True)
         at += len(token)
     return np.array(a, np.int64), np.array(b, np.int64), np.array(skip, np.bool_)
 
 
 def beliefs(unary: np.ndarray, a: np.ndarray, b: np.ndarray, skip: np.ndarray, model: Model) -> np.ndarray:
-    """Marginals by damped sum-product message passing over all edges at once."""
+    """Marginals by damped sum-product message passing over all edges at once. A message is sent anew as long as it or what
+    its sender has received moves."""
     if not len(a):
         return _softmax(unary)
     factor = np.where(skip[:, None, None], model.skip * np.eye(LABELS), model.chain)
@@ -267,18 +276,24 @@ def beliefs(unary: np.ndarray, a: np.ndarray, b: np.ndarray, skip: np.ndarray, m
     factor = np.concatenate([factor, factor.transpose(0, 2, 1)])
     half = len(a)
     message = np.zeros((2 * half, LABELS))
+    live = np.arange(2 * half)
+    stirred = np.zeros(len(unary), np.bool_)
     for _ in range(ROUNDS):
         total = unary.copy()
         np.add.at(total, target, message)
-        back = np.concatenate([message[half:], message[:half]])
-        x = (total[source] - back)[:, :, None] + factor
+        x = (total[source[live]] - message[(live + half) % (2 * half)])[:, :, None] + factor[live]
         top = x.max(axis=1)
         new = np.log(np.exp(x - top[:, None, :]).sum(axis=1)) + top
         new -= new.max(axis=1, keepdims=True)
-        moved = np.abs(new - message).max()
-        message = (message + new) / 2
-        if moved < 1e-3:
+        moved = live[np.abs(new - message[live]).max(axis=1) >= MOVED]
+        message[live] = (message[live] + new) / 2
+        if not len(moved):
             break
+        stirred[:] = False
+        stirred[target[moved]] = True
+        again = stirred[source]
+        again[moved] = True
+        live = np.flatnonzero(again)
     total = unary.copy()
     np.add.at(total, target, message)
     return _softmax(total)
@@ -328,7 +343,7 @@ def find(docs: DataFrame) -> DataFrame:
                     features = np.concatenate([np.array(r["features"]).reshape(-1, FEATURES) for r in live])
                     unary = model.unary[features].sum(axis=1)
                     observed = np.concatenate([np.array(r["label"]) for r in live])
-                    unary[observed > 0] = -20.0
+                    unary[observed > 0] = OBSERVED  # many repeats together don't outvote a pattern
                     unary[observed > 0, observed[observed > 0]] = 0.0
                     marginal = beliefs(unary, *_edges(live), model)
                     best = np.where(marginal.max(axis=1) > 0.5, marginal.argmax(axis=1), 0)

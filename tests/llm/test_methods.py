@@ -246,6 +246,16 @@ def test_skip_edges_find_repeats(spark):
     assert pii.mask(text, [s.asDict() for s in got[0]["spans"]]).count("<PHONE>") == 2
 
 
+def test_evidence_reaches_all_repeats(spark):
+    docs = [(i, f"number {i}12 and {i}34 stand alone") for i in range(60)]
+    docs += [(100, "Call +1 (319) 555-5132 now." + " or 555-5132 again" * 100)]
+    got = {r["doc_id"]: r for r in pii.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    text = docs[-1][1]
+    found = [text[s["start"] : s["end"]] for s in got[100]["spans"]]
+    assert found == ["+1 (319) 555-5132"] + ["555-5132"] * 100
+    assert all(not got[i]["spans"] for i in range(60))
+
+
 def test_line_rules_remove_and_reject(spark):
     rng = random.Random(6)
     line = "All rights are reserved by the maker of this page 2024"
