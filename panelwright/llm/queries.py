@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import bpe, chaining, chat, hnsw, language, line_rules, packing, pii, quality, simhash
+from panelwright.llm import bpe, chaining, chat, divergence, hnsw, language, line_rules, negatives, packing, pii, quality
+from panelwright.llm import simhash, topk
 from panelwright.llm.common import read_table
-from panelwright.llm.sql import CHAT, LINE_RULES
+from panelwright.llm.sql import CHAT, DIVERGENCE, HARD_NEGATIVES, LINE_RULES, TOP_K
 from panelwright.workload.book import Book
 
 book = Book()
@@ -95,3 +96,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @book.query("op4_hnsw_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@book.query("op11_angular_hard_negatives", HARD_NEGATIVES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(rows.withColumn("label", moved))
+
+
+@book.query("op12_source_divergence", DIVERGENCE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+@book.query("op13_histogram_top_k", TOP_K)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read_table(spark, sf_dir, "embeddings"))

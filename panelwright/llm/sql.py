@@ -61,3 +61,79 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+#: Rows of ``embeddings`` that take part, as integer vectors.
+_VECTORS = """
+  SELECT row_number() OVER () AS r, vec_id, CAST(label AS BIGINT) AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+#: The five rows of highest inner product for each query.
+TOP_K = f"""
+WITH v AS ({_VECTORS}),
+s AS (
+  SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k FROM s)
+SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM ranked WHERE k <= 5
+"""
+
+#: The negatives of each anchor and positive.
+HARD_NEGATIVES = f"""
+WITH all_rows AS ({_VECTORS}),
+v AS (
+  SELECT r, vec_id, q, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM all_rows WHERE label IS NOT NULL),
+s AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+    s.score AS negative_score, row_number() OVER (PARTITION BY p.r, p.k ORDER BY s.score DESC, s.vec_id) AS k
+  FROM p JOIN s ON s.r = p.r AND NOT s.same
+  WHERE p.k <= 5 AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE k <= 5
+"""
+
+#: Divergences of every pair of sources over all kept terms, and the terms that stand out.
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sizes AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM grp LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+p AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+    CAST(1 + (1000000000 * (coalesce(c.n, 0)::HUGEINT + 2)) // (s.total::HUGEINT + 2 * l.v) AS HUGEINT) AS p,
+    CAST(1 + (1000000000 * (k.n::HUGEINT + 2)) // (l.total::HUGEINT + 2 * l.v) AS HUGEINT) AS q
+  FROM sizes AS s JOIN kept AS k USING (lang) JOIN langs AS l USING (lang)
+  LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grp AS a JOIN grp AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums AS s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+    row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS k FROM pairs
+  UNION ALL
+  SELECT * FROM (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value,
+      row_number() OVER (PARTITION BY lang, source ORDER BY ((p - q) * (p - q)) // (p + q) DESC, term) AS k
+    FROM p WHERE n > 0 AND p > q) WHERE k <= 10)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(k AS INTEGER) AS rank FROM ranked
+"""
