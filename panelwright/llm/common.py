@@ -63,14 +63,16 @@ def fresh(df: DataFrame, name: str) -> str:
 def rewrite_texts(
     docs: DataFrame, edits: DataFrame, change: Callable[[str, list[dict]], str], drop_blank: bool = False
 ) -> DataFrame:
-    """``docs`` with ``text`` changed where ``edits`` (``doc_id, spans``, unique ids, stored) has spans for it; ``n_chars``,
-    if there is such a column, is counted anew there. ``drop_blank`` drops texts of which only white space is left.
+    """``docs`` with ``text`` changed where ``edits`` (``doc_id, text_hash, spans``, stored, one row for each id and xxhash64 of a
+    text) has spans for it; ``n_chars``, if there is such a column, is counted anew there. ``drop_blank`` drops texts of
+    which only white space is left. Rows that share an id are changed by their own text's spans.
     Few edits go to the documents; beyond BROADCAST_SPANS, both are shuffled."""
-    key, spans = fresh(docs, "edited_id"), fresh(docs, "edited_spans")
+    key, text_hash, spans = fresh(docs, "edited_id"), fresh(docs, "edited_hash"), fresh(docs, "edited_spans")
     few = (edits.agg(F.sum(F.size("spans"))).first()[0] or 0) <= BROADCAST_SPANS
-    edits = edits.select(F.col("doc_id").alias(key), F.col("spans").alias(spans))
+    edits = edits.select(F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash), F.col("spans").alias(spans))
     edits = F.broadcast(edits) if few else edits.hint("merge")
-    joined = docs.join(edits, docs["doc_id"].cast("long") == F.col(key), "left").drop(key)
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(key)) & (F.xxhash64(docs["text"]) == F.col(text_hash))
+    joined = docs.join(edits, same, "left").drop(key, text_hash)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in narrow_batches(batches):

@@ -27,7 +27,7 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # 0: nothing
 #: Documents, least by hash of doc_id among those with tokens to label, that the potentials are trained on.
 TRAIN_DOCS = 3000
-#: Tokens of one document that enter the training.
+#: Neighbouring tokens of one document that enter the training; where they begin is drawn by hash from the whole document.
 TRAIN_TOKENS = 200
 BUCKETS = 4096
 #: Log potential of the labels that an observed token doesn't have.
@@ -79,7 +79,8 @@ def base_spans(text: str) -> list[Span]:
     """Spans of the fixed patterns, by kind as listed, then by start. A match that fails its test is dropped."""
     found: list[Span] = [(0, *m) for m in emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        parts = [p.lstrip("0") or "0" for p in m.group().split(".")]  # of any length
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             found.append((1, *m.span()))
     for m in _CARD.finditer(text):
         digits = _DIGITS.sub("", m.group()) if m.end() - m.start() >= 13 else ""
@@ -98,7 +99,7 @@ def _hash(x: str) -> int:
 def _shape(token: str) -> str:
     """Digits as 9, letters as a, in runs of at most five; the rest as it stands."""
     plain = re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]+", "a", token))
-    return re.sub(r"9{5,}", "99999", plain)[:40]
+    return re.sub(r"9{5,}", "99999", plain)
 
 
 class Nodes(NamedTuple):
@@ -154,7 +155,7 @@ _EMPTY = Nodes([], [], [], [], [], [], [], [])
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the patterns' spans as ``base`` (kind, start, end in turn) and the nodes of every document."""
+    """``doc_id, text_hash``, the patterns' spans as ``base`` (kind, start, end in turn) and the nodes of every document."""
 
     def work(batch: pa.RecordBatch) -> dict:
         base, rows = [], []
@@ -167,9 +168,11 @@ def candidates(docs: DataFrame) -> DataFrame:
             base.append([x for s in spans for x in s])
             rows.append(nodes_of(text, spans))
         names = [c.split()[0] for c in _NODES.split(", ")]
-        return {"doc_id": batch.column("doc_id"), "base": base} | dict(zip(names, map(list, zip(*rows))))
+        ids = {n: batch.column(n) for n in ("doc_id", "text_hash")}
+        return ids | {"base": base} | dict(zip(names, map(list, zip(*rows))))
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), work, f"doc_id long, base array<int>, {_NODES}")
+    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    return map_rows(texts, work, f"doc_id long, text_hash long, base array<int>, {_NODES}")
 
 
 class Model(NamedTuple):
@@ -193,10 +196,16 @@ def _clear(row: dict) -> np.ndarray:
 def train(found: DataFrame, rounds: int = 150) -> Model:
     """Multinomial regression for the unary potentials, log odds of neighbouring labels for the chain, and of equal
     labels on repeated tokens for the skip edges. Without labelled tokens all potentials are flat but for the skip."""
-    pick = found.where(F.size("label") > 0).select(
-        *[F.slice(c, 1, TRAIN_TOKENS).alias(c) for c in ("label", "token", "same", "alike")],
-        F.slice("features", 1, FEATURES * TRAIN_TOKENS).alias("features"),
-        F.xxhash64("doc_id").alias("order"),
+    some = found.where(F.size("label") > 0).withColumn("order", F.xxhash64("doc_id"))
+    # the filter before the order bounds what all tasks together send to the driver
+    bins = max(1, some.count() // (4 * TRAIN_DOCS))
+    spare = F.greatest(F.size("label") - TRAIN_TOKENS, F.lit(0)) + 1
+    some = some.where(F.pmod(F.xxhash64("order"), F.lit(bins)) == 0)
+    some = some.withColumn("first", F.pmod(F.xxhash64("doc_id", "text_hash"), spare).cast("int"))
+    pick = some.select(
+        *[F.slice(c, F.col("first") + 1, TRAIN_TOKENS).alias(c) for c in ("label", "token", "same", "alike")],
+        F.slice("features", F.col("first") * FEATURES + 1, FEATURES * TRAIN_TOKENS).alias("features"),
+        "order",
     )
     rows = pick.orderBy("order", "features").limit(TRAIN_DOCS).collect()
     if not rows:
@@ -317,11 +326,13 @@ def _added(row: dict, labels: np.ndarray) -> list[Span]:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """``doc_id, base, spans`` of every row: the patterns' spans, and these with the field's; each an array of ``kind``
-    (a name of KINDS), ``start``, ``end`` in code points, by kind as listed, then start.
+    """``doc_id, text_hash, base, spans`` of every row: the patterns' spans, and these with the field's; each an array of
+    ``kind`` (a name of KINDS), ``start``, ``end`` in code points, by kind as listed, then start; ``text_hash`` is Spark's
+    xxhash64 of the text.
 
-    Null and empty texts have no spans; rows are handled one by one, so repeated rows don't matter; an empty table gives
-    no rows; other columns are ignored. Overlapping spans of different kinds all stay.
+    Null and empty texts have no spans; texts of any length are read whole, digit runs of any length included; rows are
+    handled one by one, so repeated rows and ids don't matter, nor ids that are null; an empty table gives no rows; other
+    columns are ignored. Overlapping spans of different kinds all stay.
     """
     found = stored(candidates(docs), "pii_nodes")
     model = train(found)
@@ -350,12 +361,13 @@ def find(docs: DataFrame) -> DataFrame:
                     cuts = np.cumsum([len(r["token"]) for r in live])[:-1]
                     extra = {id(r): _added(r, own) for r, own in zip(live, np.split(best, cuts))}
                 spans = [named(b + extra.get(id(r), [])) for r, b in zip(rows, base)]
+                ids = [part.column(n) for n in ("doc_id", "text_hash")]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([named(b) for b in base], kind), pa.array(spans, kind)],
-                    names=["doc_id", "base", "spans"],
+                    [*ids, pa.array([named(b) for b in base], kind), pa.array(spans, kind)],
+                    names=["doc_id", "text_hash", "base", "spans"],
                 )
 
-    return found.mapInArrow(label, f"doc_id long, base {span}, spans {span}")
+    return found.mapInArrow(label, f"doc_id long, text_hash long, base {span}, spans {span}")
 
 
 def mask(text: str | None, spans: list[dict]) -> str | None:
@@ -373,6 +385,8 @@ def mask(text: str | None, spans: list[dict]) -> str | None:
 
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with all found spans masked in ``text`` and ``n_chars`` of changed texts, if there is such a column, counted
-    anew. All rows stay; null stays null. Rows that repeat a ``doc_id`` should not differ in text."""
-    spans = find(docs).where(F.size("spans") > 0).select("doc_id", "spans").dropDuplicates(["doc_id"])
+    anew. All rows stay; null stays null. Each text of a ``doc_id`` is masked by its own spans, also where the
+    id is null."""
+    spans = find(docs).where(F.size("spans") > 0)
+    spans = spans.select("doc_id", "text_hash", "spans").dropDuplicates(["doc_id", "text_hash"])
     return rewrite_texts(docs, stored(spans, "pii_spans"), mask)
