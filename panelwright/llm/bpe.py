@@ -12,10 +12,13 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +73,11 @@ class Encoder:
         # ids of the chunks met so far: flat[begin[k] : begin[k + 1]] for the k-th
         self.cache: dict[str, int] = {}
         self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        # the same for the pre-tokens of the chunks
+        self.pieces: dict[str, int] = {}
+        self.piece_flat, self.piece_begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        # texts that plain white space alone doesn't cut into chunks
+        self.odd = "|".join(["[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]", *map(regex.escape, self.special)])
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each adjacent pair; _NONE if it can't be merged or either side is missing."""
@@ -212,15 +220,19 @@ class Encoder:
             return [c for c in regex.split(r"\s+", text) if c]
         return text.split()
 
-    def learn(self, chunks: set[str]) -> None:
-        """Encode the chunks that are not in the cache."""
+    def learn(self, chunks: Iterable[str]) -> None:
+        """Encode the distinct chunks that are not in the cache."""
         if len(self.cache) > CACHE:
             self.cache.clear()
             self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        new = [c for c in chunks if c not in self.cache]
+            self.pieces.clear()
+            self.piece_flat, self.piece_begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        known = self.cache
+        new = [c for c in chunks if c not in known]
         if not new:
             return
-        pieces: dict[str, int] = {}
+        pieces = self.pieces
+        before = len(pieces)
         number = pieces.setdefault
         cut: list[int] = []
         counts: list[int] = []
@@ -238,12 +250,14 @@ class Encoder:
                 found = [number(p, len(pieces)) for p in self.split.findall(plain)]
                 cut += found
                 counts.append(len(found))
-        ids, count = self.encode_pieces([p.encode() for p in pieces])
+        ids, count = self.encode_pieces([p.encode() for p in islice(pieces, before, None)])
+        self.piece_begin = np.concatenate([self.piece_begin, self.piece_begin[-1] + np.cumsum(count)])
+        self.piece_flat = np.concatenate([self.piece_flat, ids])
         # the special tokens follow the pieces
         special = sorted(self.special.values())
-        ids = np.concatenate([ids, np.array(special, np.uint32)])
-        count = np.concatenate([count, np.ones(len(special), np.int64)])
-        begin = np.concatenate([[0], np.cumsum(count)])
+        ids = np.concatenate([self.piece_flat, np.array(special, np.uint32)])
+        begin = np.concatenate([self.piece_begin, self.piece_begin[-1] + 1 + np.arange(len(special))])
+        count = np.diff(begin)
         which = np.array(cut, np.int64)
         named = which < 0
         which[named] = len(pieces) + np.searchsorted(special, -1 - which[named])
@@ -259,17 +273,34 @@ class Encoder:
         """Token strings joined by spaces, special ones included: the file has no decoder."""
         return " ".join(map(self.token.__getitem__, ids))
 
-    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text."""
-        split = [self.chunks(t or "") for t in texts]
-        self.learn(set().union(*split))
-        get = self.cache.__getitem__
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter((k for chunks in split for k in map(get, chunks)), np.int64, int(sizes.sum()))
+    def batch(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
+        """Ids of each text. Each distinct chunk of the texts is looked up once."""
+        column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        column = column.fill_null("")
+        odd = pc.match_substring_regex(column, self.odd).to_numpy(zero_copy_only=False).astype(np.bool_)
+        words = pc.ascii_split_whitespace(column.filter(pa.array(~odd)))
+        sizes = np.zeros(len(column), np.int64)
+        sizes[~odd] = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+        words = words.flatten()
+        if odd.any():
+            split = [self.chunks(t) for t in column.filter(pa.array(odd)).to_pylist()]
+            sizes[odd] = [len(x) for x in split]
+            words = pa.concat_arrays([words, pa.array([c for x in split for c in x], pa.large_string())])
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self.learn(distinct)
+        number = np.fromiter(map(self.cache.__getitem__, distinct), np.int64, len(distinct))
+        at = number[coded.indices.to_numpy(zero_copy_only=False)]
         count = np.diff(self.begin)[at]
         ids = self.flat[_ranges(self.begin[at], count)]
-        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum(sizes)]
-        return np.split(ids, ends[:-1])
+        # plain texts come first, then the odd ones
+        order = np.argsort(odd, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(count)])[np.cumsum(sizes[order])]
+        parts = np.split(ids, ends[:-1])
+        out = [parts[0]] * len(parts)
+        for i, part in zip(order.tolist(), parts):
+            out[i] = part
+        return out[: len(column)]
 
 
 def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -285,7 +316,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encode_ids(path: str, texts: list[str | None]) -> list[np.ndarray]:
+def encode_ids(path: str, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
     """Ids of each text as unsigned 32-bit arrays."""
     return encoder(path).batch(texts)
 
@@ -296,7 +327,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     rows; other columns are ignored."""
 
     def work(batch: pa.RecordBatch) -> dict:
-        ids = encode_ids(path, batch.column("text").to_pylist())
+        ids = encode_ids(path, batch.column("text"))
         return {
             "doc_id": batch.column("doc_id"),
             "ids": pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
@@ -312,7 +343,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     def work(batch: pa.RecordBatch) -> dict:
         own = encoder(path)
         n, ids, decoded = [], [], []
-        for found in own.batch(batch.column("text").to_pylist()):
+        for found in own.batch(batch.column("text")):
             listed = found.tolist()
             n.append(len(listed))
             ids.append(hashlib.sha256(" ".join(map(own.number.__getitem__, listed)).encode()).hexdigest())

@@ -142,7 +142,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, with_ids: bool = Fa
 
     def work(batch: pa.RecordBatch) -> dict:
         rows = []
-        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode_ids(path, batch.column("text").to_pylist())):
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode_ids(path, batch.column("text"))):
             ids = np.append(ids.astype("<u4"), np.uint32(END))
             for start in range(0, len(ids), window):
                 part = ids[start : start + window]
