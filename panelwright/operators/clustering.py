@@ -13,7 +13,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
+from pyspark import TaskContext, inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, GaussianMixtureModel, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -243,8 +243,10 @@ def hierarchical(
 # --- internal quality ----------------------------------------------------------------------
 
 
-def silhouette(df: DataFrame, labels: str, column: str = "features") -> float:
-    """Silhouette with squared Euclidean distance, which needs no pairs of rows."""
+def silhouette(df: DataFrame, labels: str, column: str = "features") -> float | None:
+    """Silhouette with squared Euclidean distance, which needs no pairs of rows; None for fewer than two clusters."""
+    if df.select(labels).distinct().limit(2).count() < 2:
+        return None
     evaluator = ClusteringEvaluator(featuresCol=column, predictionCol=labels)
     return evaluator.evaluate(df.withColumn(labels, F.col(labels).cast("int")))
 
@@ -272,9 +274,11 @@ def _distances2(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.stack([((x - m) ** 2).sum(1) for m in centres], axis=1)
 
 
-def internal_indices(df: DataFrame, labels: str, column: str = "features") -> dict[str, float]:
-    """Calinski-Harabasz and Davies-Bouldin."""
+def internal_indices(df: DataFrame, labels: str, column: str = "features") -> dict[str, float | None]:
+    """Calinski-Harabasz and Davies-Bouldin; None for fewer than two clusters."""
     rows = cluster_sums(df, labels, column).orderBy(labels).collect()
+    if len(rows) < 2:
+        return {"calinski_harabasz": None, "davies_bouldin": None}
     names = [r[labels] for r in rows]
     n = np.array([r["n"] for r in rows], float)
     centre = np.stack([r["centroid"].toArray() for r in rows])
@@ -455,7 +459,9 @@ def label_change(df: DataFrame, before: str, after: str) -> DataFrame:
 
 
 def _summed(rows: DataFrame, compute) -> np.ndarray:
-    """Sum over all rows of a fixed-length vector that ``compute`` gives for a batch of them; one pass."""
+    """Sum over all rows of a fixed-length vector that ``compute`` gives for a batch of them; one pass. Each task sends one
+    row; the rows are added in groups of about the square root of their number, so that the driver adds few."""
+    groups = max(1, math.isqrt(rows.rdd.getNumPartitions()))
 
     def partial(batches):
         total = None
@@ -464,43 +470,76 @@ def _summed(rows: DataFrame, compute) -> np.ndarray:
                 part = compute(_matrix(pdf["x"]))
                 total = part if total is None else total + part
         if total is not None:
-            yield pd.DataFrame({"i": np.arange(len(total)), "v": total})
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId() % groups], "v": [np.asarray(total, float).tobytes()]})
 
-    summed = rows.mapInPandas(partial, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
-    return summed.toPandas().sort_values("i")["v"].to_numpy()
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(v, float) for v in pdf["v"])
+        return pd.DataFrame({"v": [total.tobytes()]})
+
+    sums = rows.mapInPandas(partial, "part int, v binary").groupBy("part").applyInPandas(added, "v binary").collect()
+    return sum(np.frombuffer(r["v"], float) for r in sums)
 
 
 def refine(
-    df: DataFrame, array: str, centroids: np.ndarray, rounds: int = 500, tol: float = 0.001, alpha: float = 1.0
+    df: DataFrame,
+    array: str,
+    centroids: np.ndarray,
+    rounds: int = 500,
+    tol: float = 0.001,
+    alpha: float = 1.0,
+    hold: int = 5,
 ) -> tuple[np.ndarray, list[tuple[int, float, float]]]:
-    """Moves the centroids to the target-weighted means until few labels change.
+    """Moves the centroids down the divergence of the assignments from their target until few labels change.
+
+    The target is taken from the centroids every ``hold`` rounds and held in between: k column sums in one pass. A round's
+    one pass gives the divergence, the changed labels and its gradient by the centroids, which weights every row by the
+    Student-t kernel: sums of (p - q) / (1 + d2 / alpha) * (x - m). A step that raises the divergence of the held target is
+    taken back and halved. The refinement ends when, at a new target, fewer than ``tol`` of the labels have changed since the
+    last one. The target sharpens the assignments, but the kernel's weight fades with the distance, so centroids stay in
+    their clusters; if two meet all the same, an error is raised.
 
-    Two passes a round over kept rows, as the target needs the assignments' column sums first: k sums, then k x d weighted
-    sums, k weights, the divergence and the changed labels. Returns the centroids and the log.
+    Returns the centroids and the log ``(round, divergence, share of labels changed since the last target)``, a row for each
+    target. Null arrays take no part; without any rows the centroids stay and the log is empty.
     """
     k, d = centroids.shape
     log: list[tuple[int, float, float]] = []
-    previous: np.ndarray | None = None
     rows = df.select(F.col(array).alias("x")).where("x IS NOT NULL").persist()
     try:
         n = rows.count()
-        for i in range(rounds):
-            sums = _summed(rows, lambda x, m=centroids: _soft(x, m, alpha).sum(0))
+        step, previous = 1.0, None
+        i = 0
+        while n and i < rounds:
+            target = centroids
+            sums = _summed(rows, lambda x, m=target: _soft(x, m, alpha).sum(0))
 
-            def moments(x: np.ndarray, now=centroids, old=previous, sums=sums) -> np.ndarray:
+            def moments(x: np.ndarray, now: np.ndarray, target=target, sums=sums, old=previous) -> np.ndarray:
                 q = _soft(x, now, alpha)
-                p = _sharp(q, sums)
+                p = _sharp(_soft(x, target, alpha), sums)
                 kl = (p * np.log(np.where(p > 0, p / q, 1.0))).sum()
                 moved = 0 if old is None else (q.argmax(1) != _soft(x, old, alpha).argmax(1)).sum()
-                return np.concatenate([(p.T @ x).ravel(), p.sum(0), [kl, moved]])
+                pull = (p - q) / (1 + _distances2(x, now) / alpha)
+                # the kernel's mass scales a step to the size of its cluster
+                mass = (q / (1 + _distances2(x, now) / alpha)).sum(0)
+                return np.concatenate([(pull.T @ x - pull.sum(0)[:, None] * now).ravel(), mass, [kl, moved]])
 
-            found = _summed(rows, moments)
+            found = _summed(rows, lambda x: moments(x, target))
             kl, moved = found[-2] / n, found[-1] / n
             log.append((i, float(kl), float(moved)))
             if previous is not None and moved < tol:
                 break
-            previous = centroids
-            centroids = found[: k * d].reshape(k, d) / found[k * d : k * d + k, None]
+            previous = target
+            for _ in range(hold):
+                move = found[: k * d].reshape(k, d) / np.maximum(found[k * d : -2, None], 1e-12)
+                tried = centroids + step * move
+                after = _summed(rows, lambda x, m=tried: moments(x, m))
+                i += 1
+                if after[-2] <= found[-2]:
+                    centroids, found, step = tried, after, min(1.0, 2 * step)
+                else:
+                    step /= 2
+            apart = _distances2(centroids, centroids)[~np.eye(k, dtype=bool)]
+            if k > 1 and apart.min() <= 1e-12 * max(1.0, float((centroids**2).sum(1).max())):
+                raise ValueError("two centroids have met")
     finally:
         rows.unpersist()
     return centroids, log

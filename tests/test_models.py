@@ -135,6 +135,24 @@ def test_refinement_sharpens_and_stops(blobs):
     assert np.allclose(sums.to_numpy(), 1)
 
 
+def test_refinement_of_overlapping_groups_keeps_them_apart(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(c, 1.0, size=(80, 3)) for c in ([0, 0, 0], [1.5, 0, 0], [0, 1.5, 0])])
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id int, x array<double>")
+    start = np.array([[0.2, 0.1, 0], [1, 0.2, 0], [0.2, 1, 0]])
+    centres, log = clustering.refine(df, "x", start, rounds=60)
+    apart = np.linalg.norm(centres[:, None] - centres, axis=2)[~np.eye(3, dtype=bool)]
+    assert apart.min() > 0.5
+    assert len(log) < 60 and log[-1][2] < 0.1
+    assert clustering.refine(df.limit(0), "x", start)[1] == []
+
+
+def test_quality_of_one_cluster_is_null(spark):
+    df = spark.createDataFrame([(i, 0, [float(i), 1.0]) for i in range(5)], "id int, label int, x array<double>")
+    df = embedding.as_vector(df, "x")
+    assert clustering.quality(df, "label", "one") == ("one", None, None, None)
+
+
 def test_agreement_properties(spark):
     rows = [(i, i % 3, (i % 3 + 1) % 3, 0) for i in range(90)]
     df = spark.createDataFrame(rows, "id int, a int, b int, c int")
