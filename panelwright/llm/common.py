@@ -23,14 +23,16 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def narrow_batches(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about SLICE_CHARS bytes of text, so that memory follows the longest
+def narrow_batches(
+    batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SLICE_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text, so that memory follows the longest
     document and not the number of rows in a batch."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
-            if held and held + n > SLICE_CHARS:
+            if held and held + n > most:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += n
