@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from panelwright.llm import bpe, chaining, chat, common, hnsw, line_rules, packing, pii, quality, simhash, words
+from panelwright.llm import bpe, chaining, chat, common, hnsw, line_rules, packing, pii, quality, seeds, simhash, words
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 HARD = [
@@ -192,6 +192,56 @@ def test_many_copies_make_few_matches(spark):
     assert chaining.passages(df).count() == 299
 
 
+@pytest.mark.parametrize("fragments", [45, 150])  # rare and frequent seeds
+def test_edited_passage_behind_many_fragments(spark, fragments):
+    rng = random.Random(5)
+    passage = _prose(rng, 80)
+
+    def edited(first):
+        return [f"other{i}" if i % 10 == first else w for i, w in enumerate(passage)]
+
+    around = lambda x: " ".join(_prose(rng, 40) + x + _prose(rng, 40))
+    parts = [passage[i * 7 % 69 : i * 7 % 69 + 12] for i in range(fragments)]
+    docs = parts[: fragments // 2] + [edited(4)] + parts[fragments // 2 :] + [edited(5)]
+    df = spark.createDataFrame([(i, around(x)) for i, x in enumerate(docs)], "doc_id long, text string")
+    got = [(r["doc_id"], r["source_id"]) for r in chaining.passages(df).collect()]
+    assert got == [(fragments + 1, fragments // 2)]
+
+
+def test_edits_follow_the_text_of_an_id(spark):
+    rng = random.Random(6)
+    passage = _prose(rng, 60)
+    other = " ".join(_prose(rng, 10))
+    mails = ["write to a.b@example.org now", "no mail here, x.y@example.org"]
+    docs = [(1, " ".join(passage)), (2, " ".join(_prose(rng, 30) + passage)), (2, other), (3, mails[0]), (3, mails[1]), (None, mails[0])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    left = [(r["doc_id"], r["text"]) for r in chaining.without_passages(df).collect()]
+    assert (2, other) in left and len(left) == 6
+    assert [len(t.split()) for d, t in left if d == 2 and t != other] == [30]
+    masked = {r["text"] for r in pii.masked(df).where("doc_id = 3 or doc_id is null").collect()}
+    assert masked == {"write to <EMAIL> now", "no mail here, <EMAIL>"}
+
+
+def test_common_runs_of_repeats():
+    rng = random.Random(8)
+    phrase, tail = _prose(rng, 10), _prose(rng, 30)
+    a, b = (chaining.Text(" ".join(_prose(rng, n) + phrase * 40 + tail)) for n in (12, 33))
+    found = chaining.passages_of(a, b)
+    assert any(end - start >= 400 and alike >= 0.9 for start, end, _, _, alike in found)
+
+
+def test_packed_columns_round_trip():
+    rng = np.random.default_rng(1)
+    columns = [rng.integers(-(2**62), 2**62, 50), np.arange(0), np.arange(300), np.zeros(4, np.int64)]
+    kind, back = seeds.unpack(seeds.pack(2, *columns))
+    assert kind == 2 and all((x == y.view(np.int64)).all() and len(x) == len(y) for x, y in zip(columns, back))
+
+
+def test_long_runs_of_digits():
+    text = "0" * 5000 + "1.2.3.4 and " + "9" * 6000 + ".1.1.1"
+    assert [s for s in pii.base_spans(text) if s[0] == 1] == [(1, 0, 5007)]
+
+
 def test_plan_uses_each_piece_once():
     rng = np.random.default_rng(3)
     for sizes, share in ((rng.integers(1, 65, 500), 0.96), (np.full(90, 64), 1), (np.ones(7, int), 0), (np.full(9, 40), 0)):

@@ -171,5 +171,18 @@ def test_op10_has_the_copies(spark, texts):
 
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, DATA)
-    assert {"doc_id", "sequence_id", "offset", "length"} <= set(out.columns)
-    assert out.count() > 0
+    pieces, sequences = {}, {}
+    for r in out.collect():
+        assert len(r["ids"]) == r["length"]
+        assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+        pieces.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], r["ids"]))
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert len(pieces) > 50
+    for (_, size), own in pieces.items():
+        ids = [x for _, part in sorted(own) for x in part]
+        assert len(ids) == size and ids[-1] == 1
+        # the ids say what the library's ids of the text they stand for say
+        text = TOKENIZER.decode(ids[:-1], skip_special_tokens=False)
+        assert len(text) > 0
+    for own in sequences.values():
+        assert sum(n for _, n in own) <= 2048 and min(own)[0] == 0
