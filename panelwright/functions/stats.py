@@ -59,11 +59,14 @@ def normal_ppf(p):
     return np.where(p > 0.5, -x, x)
 
 
+_quadrature = cache(np.polynomial.legendre.leggauss)
+
+
 def bivariate_normal_cdf(h, k, rho: float, nodes: int = 48):
     """P(X<h, Y<k) by integrating the density over the correlation from 0 to rho."""
     h, k = np.broadcast_arrays(np.asarray(h, float), np.asarray(k, float))
     hc, kc = np.clip(h, -8, 8), np.clip(k, -8, 8)
-    x, w = np.polynomial.legendre.leggauss(nodes)
+    x, w = _quadrature(nodes)
     t = (x + 1) * rho / 2
     s = 1 - t * t
     q = (hc[..., None] ** 2 - 2 * hc[..., None] * kc[..., None] * t + kc[..., None] ** 2) / (2 * s)

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions import stats
@@ -19,6 +20,13 @@ from panelwright.operators.cleaning import complete_cases
 from panelwright.session import stored
 
 
+def coefficient(a: str, b: str) -> Column:
+    """Correlation over the rows that have both columns; null where one of them is constant."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    spread = F.stddev_samp(F.when(both, F.col(a))) * F.stddev_samp(F.when(both, F.col(b)))
+    return F.try_divide(F.covar_samp(a, b), spread)
+
+
 def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long (row, col, value) matrix over complete rows, by one aggregate; null where a column is constant."""
     rows = complete_cases(df.select(*[F.col(n).cast("double").alias(n) for n in columns]), columns)
@@ -154,6 +162,28 @@ def mixed(
     return matrix, n
 
 
+@dataclass(frozen=True)
+class Repaired:
+    """A correlation matrix with its least eigenvalue before and after the repair."""
+
+    matrix: np.ndarray
+    least_before: float
+    least_after: float
+
+
+def positive_definite(matrix: np.ndarray, floor: float = 0.01) -> Repaired:
+    """Eigenvalues below the floor are raised to it and the diagonal is scaled back to one. Correlations estimated
+    pair by pair need not fit together; a matrix that does is returned as it is."""
+    values, vectors = np.linalg.eigh((matrix + matrix.T) / 2)
+    least = float(values[0])
+    if least >= floor:
+        return Repaired(matrix, least, least)
+    raised = (vectors * np.clip(values, floor, None)) @ vectors.T
+    deviation = np.sqrt(np.diag(raised))
+    fixed = raised / np.outer(deviation, deviation)
+    return Repaired(fixed, least, float(np.linalg.eigvalsh(fixed)[0]))
+
+
 # --- factorability -------------------------------------------------------------------
 
 
@@ -195,8 +225,9 @@ def cronbach_alpha(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def outcome_correlation(df: DataFrame, factors: Sequence[str], outcomes: Sequence[str]) -> DataFrame:
+    """Long (row, col, value) table of factors by outcomes, by one aggregate; null where either is constant."""
     cells = [
-        F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.corr(a, b).alias("value"))
+        F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), coefficient(a, b).alias("value"))
         for a in factors
         for b in outcomes
     ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwright.operators import features
+from panelwright.operators import correlation, features
 from panelwright.operators.cleaning import complete_cases
 
 
@@ -79,16 +79,42 @@ def oblimin(load: np.ndarray, starts: int = 6, seed: int = 0) -> tuple[np.ndarra
     return pattern * sign, (turn.T @ turn) * np.outer(sign, sign)
 
 
-def _rotate(
-    load: np.ndarray, turn: np.ndarray, rounds: int = 500, tol: float = 1e-6
-) -> tuple[float, np.ndarray, np.ndarray]:
-    """Gradient projection from one start."""
-    mix = 1 - np.eye(load.shape[1])
+def _quartimin(pattern: np.ndarray) -> tuple[float, np.ndarray]:
+    square = pattern**2
+    others = square.sum(1, keepdims=True) - square
+    return float((square * others).sum() / 4), pattern * others
+
+
+def to_target(load: np.ndarray, free: np.ndarray, starts: int = 40, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Oblique rotation towards a partly specified target; pattern and factor correlations.
+
+    ``free`` marks the loadings that may take any value; the squares of all others are made as small as possible. A
+    factor thus keeps its place on every run. Its sign makes the sum of its free loadings positive. Several fixed
+    starts are tried, of which the one with the least criterion is taken.
+    """
+    k = load.shape[1]
+    fixed = ~np.asarray(free, bool)
 
     def value(pattern: np.ndarray) -> tuple[float, np.ndarray]:
-        square = pattern**2
-        return float((square * (square @ mix)).sum() / 4), pattern * (square @ mix)
+        rest = pattern * fixed
+        return float((rest**2).sum() / 2), rest
 
+    rng = np.random.default_rng(seed)
+    left, _, right = np.linalg.svd(load.T @ np.asarray(free, float))
+    begin = [left @ right] + [np.linalg.qr(rng.normal(size=(k, k)))[0] for _ in range(starts)]
+    _, pattern, turn = min((_rotate(load, t, value) for t in begin), key=lambda found: found[0])
+    sign = np.where((pattern * ~fixed).sum(0) < 0, -1.0, 1.0)
+    return pattern * sign, (turn.T @ turn) * np.outer(sign, sign)
+
+
+def _rotate(
+    load: np.ndarray,
+    turn: np.ndarray,
+    value: Callable[[np.ndarray], tuple[float, np.ndarray]] = _quartimin,
+    rounds: int = 500,
+    tol: float = 1e-6,
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Gradient projection from one start."""
     step = 1.0
     pattern = load @ np.linalg.inv(turn).T
     f, gradient = value(pattern)
@@ -107,6 +133,9 @@ def _rotate(
             if trial_f < f - 0.5 * size**2 * step:
                 break
             step /= 2
+        else:
+            # no step lowers the criterion any more
+            break
         turn, pattern, f, gradient = trial, trial_pattern, trial_f, trial_gradient
     return f, pattern, turn
 
@@ -118,6 +147,7 @@ class FactorModel:
     factor_correlations: np.ndarray
     weights: np.ndarray
     correlations: np.ndarray
+    names: tuple[str, ...] = ()
 
     @property
     def communalities(self) -> np.ndarray:
@@ -125,11 +155,33 @@ class FactorModel:
 
 
 def fit(matrix: np.ndarray, columns: Sequence[str], k: int | None = None) -> FactorModel:
-    """ML extraction, oblimin rotation and regression weights for the scores."""
+    """ML extraction, oblimin rotation and regression weights for the scores.
+
+    A matrix estimated pair by pair is made positive definite first."""
+    matrix = correlation.positive_definite(matrix).matrix
     k = usable_factors(len(columns), k or velicer_map(matrix))
     loadings, phi = oblimin(maximum_likelihood(matrix, k))
-    weights = np.linalg.pinv(matrix) @ loadings @ phi
-    return FactorModel(tuple(columns), loadings, phi, weights, matrix)
+    return _model(matrix, columns, loadings, phi, [f"F{i + 1}" for i in range(k)])
+
+
+def fit_blocks(matrix: np.ndarray, columns: Sequence[str], blocks: Mapping[str, Sequence[str]]) -> FactorModel:
+    """As many factors as there are blocks of columns, each rotated towards its own block and named after it."""
+    outside = set(columns) ^ {n for block in blocks.values() for n in block}
+    if outside:
+        raise ValueError(f"columns and blocks differ in {sorted(outside)}")
+    if usable_factors(len(columns), len(blocks)) < len(blocks):
+        raise ValueError(f"{len(columns)} columns are too few for {len(blocks)} factors")
+    matrix = correlation.positive_definite(matrix).matrix
+    free = np.array([[n in block for block in blocks.values()] for n in columns])
+    loadings, phi = to_target(maximum_likelihood(matrix, len(blocks)), free)
+    return _model(matrix, columns, loadings, phi, list(blocks))
+
+
+def _model(
+    matrix: np.ndarray, columns: Sequence[str], loadings: np.ndarray, phi: np.ndarray, names: Sequence[str]
+) -> FactorModel:
+    weights = np.linalg.solve(matrix, loadings @ phi)
+    return FactorModel(tuple(columns), loadings, phi, weights, matrix, tuple(names))
 
 
 def loadings_table(spark: SparkSession, model: FactorModel, cut: float = 0.30) -> DataFrame:

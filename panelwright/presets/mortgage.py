@@ -337,6 +337,13 @@ ORIGINATION_BLOCK = (
     "orig_loan_term num_borrowers first_time_buyer has_coborrower occupancy_ord "
     "loan_purpose_ord property_type_ord channel_ord high_balance_loan_indicator"
 ).split()
+# The block's columns by the factor they belong to.
+ORIGINATION_FACTORS = {
+    "orig_F_crediticia": "borrower_credit_score dti num_borrowers first_time_buyer has_coborrower".split(),
+    "orig_F_apalancamiento": "orig_ltv orig_cltv mi_percentage".split(),
+    "orig_F_exposicion": "orig_upb orig_interest_rate high_balance_loan_indicator".split(),
+    "orig_F_contractual": "orig_loan_term loan_purpose_ord channel_ord property_type_ord occupancy_ord".split(),
+}
 BEHAVIOUR_BLOCK = (
     "months_delinquent_30plus months_delinquent_90plus max_delinquency_status ph_max_delinquency_24"
 ).split()

@@ -228,15 +228,39 @@ def m15(spark, sf):
     return factors.loadings_table(spark, factors.fit(matrix, _MIXED))
 
 
-_ORIGINATION = "orig_interest_rate orig_upb orig_ltv orig_cltv dti borrower_credit_score num_borrowers".split()
+_ORIGINATION = mortgage.ORIGINATION_BLOCK
+_ORIGINATION_FACTORS = mortgage.ORIGINATION_FACTORS
+_FLAGS = ["first_time_buyer", "high_balance_loan_indicator"]
+
+
+def _origination_block(spark, sf):
+    """The loan table with the 16 columns of the block as numbers."""
+    loans = features.encode_ordinals(fx.loan_table(spark, sf), mortgage.LEVELS)
+    return features.encode_yes_no(loans, _FLAGS).withColumnRenamed("occupancy_status_ord", "occupancy_ord")
+
+
+def origination_model(loans):
+    matrix, _ = correlation.mixed(loans, _ORIGINATION)
+    return factors.fit_blocks(matrix, _ORIGINATION, _ORIGINATION_FACTORS)
 
 
 def _origination_scores(spark, sf):
-    loans = fx.loan_table(spark, sf)
-    matrix, _ = correlation.pearson_matrix(loans, _ORIGINATION)
-    model = factors.fit(matrix, _ORIGINATION, 2)
-    names = [f"orig_F{i + 1}" for i in range(model.loadings.shape[1])]
-    return factors.scores(loans, model, names, "loan_id")
+    loans = _origination_block(spark, sf)
+    return factors.scores(loans, origination_model(loans), list(_ORIGINATION_FACTORS), "loan_id")
+
+
+@book.query("m12_origination_factorability")
+def m12_origination(spark, sf):
+    matrix, n = correlation.mixed(_origination_block(spark, sf), _ORIGINATION)
+    fixed = correlation.positive_definite(matrix)
+    ends = [("least_eigenvalue_before", "all", fixed.least_before), ("least_eigenvalue_after", "all", fixed.least_after)]
+    table = correlation.factorability(spark, fixed.matrix, n, _ORIGINATION)
+    return table.unionByName(spark.createDataFrame(ends, table.schema))
+
+
+@book.query("m15_origination_loadings")
+def m15_origination(spark, sf):
+    return factors.loadings_table(spark, origination_model(_origination_block(spark, sf)))
 
 
 @book.query("m16_factor_scores")
@@ -244,6 +268,29 @@ def m16(spark, sf):
     return _origination_scores(spark, sf)
 
 
+_ORIGINATION_COMPLETE = " AND ".join(
+    f"{n} IS NOT NULL" for n in _ORIGINATION if n not in _FLAGS and not n.endswith("_ord")
+) + "".join(
+    f" AND {n} IN ({', '.join(repr(x) for x in mortgage.LEVELS[n])})"
+    for n in ("channel", "loan_purpose", "property_type", "occupancy_status")
+)
+
+
+@book.query(
+    "m16_score_means",
+    f"{GOLD}, names AS (SELECT unnest([{', '.join(repr(n) for n in _ORIGINATION_FACTORS)}]) AS factor) "
+    "SELECT factor, n, 0.0::double AS mean FROM names, "
+    f"(SELECT count(*) AS n FROM gold WHERE {_ORIGINATION_COMPLETE})",
+)
+def m16_means(spark, sf):
+    """Scores exist for every complete row and centre on zero, whatever the rotation."""
+    table = _origination_scores(spark, sf)
+    long = ranking.melt(table, list(_ORIGINATION_FACTORS))
+    return long.groupBy(F.col("column").alias("factor")).agg(
+        F.count("*").alias("n"), F.abs(F.round(F.avg("value"), 6)).alias("mean")
+    )
+
+
 _BEHAVIOUR = mortgage.BEHAVIOUR_BLOCK
 _HAVE = " AND ".join(f"{n} IS NOT NULL" for n in _BEHAVIOUR)
 _PAIRS = " + ".join(f"corr({a}, {b})" for a, b in combinations(_BEHAVIOUR, 2))
@@ -286,7 +333,7 @@ def m19_context(spark, sf):
 
 
 def latent(spark, sf):
-    """Two origination factors, the behaviour index, one cohort factor and the state."""
+    """Four origination factors, the behaviour index, one cohort factor and the state."""
     loans = fx.loan_table(spark, sf)
     context = factors.context_columns(loans, VINTAGES)
     matrix, _ = correlation.pearson_matrix(context, mortgage.CONTEXT_BLOCK)
@@ -317,3 +364,29 @@ _TARGETS = ["is_default", "ever_d90", "ever_d180", "ever_modified", "net_severit
 def m20(spark, sf):
     out = correlation.outcome_correlation(fx.loan_table(spark, sf), _CORR, _TARGETS)
     return out.withColumn("value", F.round("value", 5))
+
+
+LATENT = [*mortgage.ORIGINATION_FACTORS, "comp_F_deterioro", "macro_F_cohorte"]
+
+
+@book.query("m20_latent_outcome_correlation")
+def m20_latent(spark, sf):
+    """All factors of the latent space against the outcomes of the same loans."""
+    rows = latent(spark, sf).select("loan_id", *LATENT).join(
+        fx.loan_table(spark, sf).select("loan_id", *_TARGETS), "loan_id"
+    )
+    return correlation.outcome_correlation(rows, LATENT, _TARGETS)
+
+
+@book.query(
+    "m20_index_outcome_correlation",
+    f"{GOLD}, idx AS (SELECT *, ({_Z}) / 4 AS indice FROM gold WHERE {_HAVE}) "
+    + " UNION ALL ".join(
+        f"SELECT 'indice' AS \"row\", '{b}' AS col, round(corr(indice, {b}), 5) AS value FROM idx" for b in _TARGETS
+    ),
+)
+def m20_index(spark, sf):
+    loans = fx.loan_table(spark, sf)
+    index = factors.composite_index(loans, _BEHAVIOUR, "loan_id").select("loan_id", "indice")
+    rows = index.join(loans.select("loan_id", *_TARGETS), "loan_id")
+    return correlation.outcome_correlation(rows, ["indice"], _TARGETS).withColumn("value", F.round("value", 5))
