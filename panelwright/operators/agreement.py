@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, count, islice
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,20 +81,64 @@ def agreements(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     )
 
 
+def best_assignment(gain: np.ndarray) -> np.ndarray:
+    """Column of every row such that the sum of the chosen cells is greatest, no column twice. Square tables only.
+
+    Rows are added one at a time along the shortest augmenting path, with prices on rows and columns.
+    """
+    n = len(gain)
+    cost = gain.max(initial=0) - gain
+    row_price, column_price = np.zeros(n), np.zeros(n)
+    owner = np.full(n, -1)
+    for new in range(n):
+        reach, before = np.full(n, np.inf), np.full(n, -1)
+        seen = np.zeros(n, bool)
+        row, at, last = new, 0.0, -1
+        while True:
+            gap = at + cost[row] - row_price[row] - column_price
+            nearer = ~seen & (gap < reach)
+            reach[nearer], before[nearer] = gap[nearer], last
+            last = int(np.argmin(np.where(seen, np.inf, reach)))
+            at = reach[last]
+            seen[last] = True
+            if owner[last] < 0:
+                break
+            row = owner[last]
+        # only columns reached before the last one change their price, and so do the rows that own them
+        inner = seen & (owner >= 0)
+        row_price[owner[inner]] += at - reach[inner]
+        row_price[new] += at
+        column_price[inner] -= at - reach[inner]
+        while last >= 0:
+            prior = before[last]
+            owner[last] = owner[prior] if prior >= 0 else new
+            last = prior
+    chosen = np.empty(n, int)
+    chosen[owner] = np.arange(n)
+    return chosen
+
+
 def align_labels(df: DataFrame, label: str, reference: str, alias: str) -> DataFrame:
-    """Renames labels to the reference label they share most rows with.
+    """Renames integer labels so that as many rows as possible carry their reference label.
 
-    Pairs are taken greedily from the k x k contingency table, largest first, so the
-    renaming stays one to one.
+    The renaming is the optimal one to one assignment on the k x k contingency table, which alone reaches the driver.
+    Labels beyond the number of reference labels get the next free numbers, so no two labels become one. Null labels
+    stay null and count for nothing.
     """
-    cells = contingency(df, label, reference).orderBy(F.desc("n"), "a", "b").collect()
-    mapping: dict = {}
-    for row in cells:
-        if row["a"] not in mapping and row["b"] not in mapping.values():
-            mapping[row["a"]] = row["b"]
+    cells = contingency(df, label, reference).where("a IS NOT NULL").collect()
+    own = sorted({r["a"] for r in cells})
+    others = sorted({r["b"] for r in cells if r["b"] is not None})
+    if not own:
+        return df.withColumn(alias, F.col(label))
+    free = count(max([*own, *others]) + 1)
+    targets = others + list(islice(free, max(len(own) - len(others), 0)))
+    gain = np.zeros((len(targets), len(targets)))
+    for r in cells:
+        if r["b"] is not None:
+            gain[own.index(r["a"]), targets.index(r["b"])] = r["n"]
+    mapping = {a: targets[j] for a, j in zip(own, best_assignment(gain), strict=False)}
     pairs = [F.lit(x) for item in mapping.items() for x in item]
-    renamed = F.element_at(F.create_map(*pairs), F.col(label))
-    return df.withColumn(alias, F.coalesce(renamed, F.col(label)))
+    return df.withColumn(alias, F.element_at(F.create_map(*pairs), F.col(label)))
 
 
 def balance(df: DataFrame, labels: Mapping[str, str], limit: float = 500.0) -> DataFrame:

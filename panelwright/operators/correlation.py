@@ -127,10 +127,12 @@ def polyserial(r: float, deviation: float, counts: np.ndarray, n: int) -> float:
 def mixed(
     df: DataFrame, columns: Sequence[str], kinds: Mapping[str, str] | None = None
 ) -> tuple[np.ndarray, int]:
-    """Pearson, polyserial or polychoric correlation by the kinds of each pair."""
+    """Pearson, polyserial or polychoric correlation by the kinds of each pair; a constant column correlates with none."""
     rows = complete_cases(df.select(*[F.col(n).cast("double").alias(n) for n in columns]), columns)
     kinds = kinds or column_kinds(rows, columns)
     matrix, n = pearson_matrix(rows, columns)
+    matrix = np.nan_to_num(matrix)
+    np.fill_diagonal(matrix, 1.0)
     at = {name: i for i, name in enumerate(columns)}
     discrete = [x for x in columns if kinds[x] != "continuous"]
     if not discrete:
@@ -156,7 +158,7 @@ def mixed(
         mean = (weight * value).sum() / weight.sum()
         deviation = math.sqrt((weight * (value - mean) ** 2).sum() / (weight.sum() - 1))
         for x in columns:
-            if kinds[x] == "continuous":
+            if kinds[x] == "continuous" and len(weight) > 1:
                 r = polyserial(matrix[at[d], at[x]], deviation, weight, n)
                 matrix[at[d], at[x]] = matrix[at[x], at[d]] = r
     return matrix, n

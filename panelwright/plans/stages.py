@@ -25,9 +25,27 @@ def _replace(raw: DataFrame, target: str, partition: str) -> None:
     sinks.overwrite_partitioned(files.repartition(partition), _manifest(target), [partition], dynamic=True)
 
 
+def _report(raw: DataFrame, target: str) -> None:
+    """Write the files of a scan that cannot be loaded to a table beside the target, replacing that of the last run."""
+    listing.rejected_files(raw).coalesce(1).write.mode("overwrite").parquet(f"{target.rstrip('/')}_rejected")
+
+
+def rejected(spark: SparkSession, target: str) -> DataFrame:
+    """``path`` and ``name`` of the files that the last ingest into the target left out, as their paths name no quarter."""
+    return spark.read.parquet(f"{target.rstrip('/')}_rejected")
+
+
 def ingest(spark: SparkSession, source: str, target: str, rules: CleanRules, partition: str, sep: str = "|") -> None:
-    """All files of the folder in one scan, replacing the partitions they belong to."""
-    _replace(records.read_records(spark, source, rules.raw_schema, sep), target, partition)
+    """All files of the folder in one scan, replacing the partitions they belong to. Files whose path names no quarter
+    are not loaded; ``rejected`` lists them."""
+    raw = records.read_records(spark, source, rules.raw_schema, sep)
+    _report(raw, target)
+    found = raw.inputFiles()
+    paths = [r["path"] for r in listing.source_files(raw, partition).select("path").collect()]
+    if paths and len(paths) < len(found):
+        raw = records.read_records(spark, paths, rules.raw_schema, sep)
+    if paths:
+        _replace(raw, target, partition)
 
 
 def ingest_pending(
@@ -36,11 +54,13 @@ def ingest_pending(
     """Loads the source files that the manifest of the target does not list, and returns their number.
 
     A quarter with a new file is written anew from all its files, so a file that arrives late is added and none is
-    doubled. Files whose path names no quarter are not loaded. The driver handles file paths, as many as there are
+    doubled. Files whose path names no quarter are not loaded; ``rejected`` lists them. The driver handles file paths, as many as there are
     source files; the records stay with the executors.
     """
     scan = spark.read.schema(rules.raw_schema).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
-    files = listing.source_files(scan.csv(source), partition)
+    scanned = scan.csv(source)
+    _report(scanned, target)
+    files = listing.source_files(scanned, partition)
     manifest = _manifest(target)
     waiting = files
     if listing.exists(spark, manifest):

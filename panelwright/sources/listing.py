@@ -38,12 +38,21 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def _by_path(records: DataFrame, column: str) -> DataFrame:
+    paths = records.sparkSession.createDataFrame([(p,) for p in records.inputFiles()], "path string")
+    return paths.withColumn(column, F.regexp_extract("path", r"(\d{4}Q\d)(?!.*\d{4}Q\d)", 1))
+
+
 def source_files(records: DataFrame, column: str) -> DataFrame:
     """``path`` of every file behind a scan, and as ``column`` the quarter that its path names; files that name none are
     left out. The driver handles the paths; no content is read."""
-    paths = records.sparkSession.createDataFrame([(p,) for p in records.inputFiles()], "path string")
-    quarter = F.regexp_extract("path", r"(\d{4}Q\d)(?!.*\d{4}Q\d)", 1)
-    return paths.withColumn(column, quarter).where(F.col(column) != "")
+    return _by_path(records, column).where(F.col(column) != "")
+
+
+def rejected_files(records: DataFrame) -> DataFrame:
+    """``path`` and ``name`` of the files behind a scan whose path names no quarter."""
+    without = _by_path(records, "_quarter").where("_quarter = ''")
+    return without.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
 def pending(source: DataFrame, done: DataFrame, column: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelwright.operators import correlation, factors, features, ranking, sampling
 from panelwright.functions import columns as c
+from panelwright.plans import segments
 from panelwright.presets import mortgage
 from panelwright.workload import fixture as fx
 from panelwright.workload.book import Book
@@ -230,23 +231,10 @@ def m15(spark, sf):
 
 _ORIGINATION = mortgage.ORIGINATION_BLOCK
 _ORIGINATION_FACTORS = mortgage.ORIGINATION_FACTORS
-_FLAGS = ["first_time_buyer", "high_balance_loan_indicator"]
 
 
 def _origination_block(spark, sf):
-    """The loan table with the 16 columns of the block as numbers."""
-    loans = features.encode_ordinals(fx.loan_table(spark, sf), mortgage.LEVELS)
-    return features.encode_yes_no(loans, _FLAGS).withColumnRenamed("occupancy_status_ord", "occupancy_ord")
-
-
-def origination_model(loans):
-    matrix, _ = correlation.mixed(loans, _ORIGINATION)
-    return factors.fit_blocks(matrix, _ORIGINATION, _ORIGINATION_FACTORS)
-
-
-def _origination_scores(spark, sf):
-    loans = _origination_block(spark, sf)
-    return factors.scores(loans, origination_model(loans), list(_ORIGINATION_FACTORS), "loan_id")
+    return segments.origination_block(fx.loan_table(spark, sf))
 
 
 @book.query("m12_origination_factorability")
@@ -260,16 +248,16 @@ def m12_origination(spark, sf):
 
 @book.query("m15_origination_loadings")
 def m15_origination(spark, sf):
-    return factors.loadings_table(spark, origination_model(_origination_block(spark, sf)))
+    return factors.loadings_table(spark, segments.origination_model(_origination_block(spark, sf)))
 
 
 @book.query("m16_factor_scores")
 def m16(spark, sf):
-    return _origination_scores(spark, sf)
+    return segments.origination_scores(fx.loan_table(spark, sf))
 
 
 _ORIGINATION_COMPLETE = " AND ".join(
-    f"{n} IS NOT NULL" for n in _ORIGINATION if n not in _FLAGS and not n.endswith("_ord")
+    f"{n} IS NOT NULL" for n in _ORIGINATION if n not in segments.FLAGS and not n.endswith("_ord")
 ) + "".join(
     f" AND {n} IN ({', '.join(repr(x) for x in mortgage.LEVELS[n])})"
     for n in ("channel", "loan_purpose", "property_type", "occupancy_status")
@@ -284,7 +272,7 @@ _ORIGINATION_COMPLETE = " AND ".join(
 )
 def m16_means(spark, sf):
     """Scores exist for every complete row and centre on zero, whatever the rotation."""
-    table = _origination_scores(spark, sf)
+    table = segments.origination_scores(fx.loan_table(spark, sf))
     long = ranking.melt(table, list(_ORIGINATION_FACTORS))
     return long.groupBy(F.col("column").alias("factor")).agg(
         F.count("*").alias("n"), F.abs(F.round(F.avg("value"), 6)).alias("mean")
@@ -332,23 +320,9 @@ def m19_context(spark, sf):
     return out.select("loan_id", F.round("orig_year_std", 5).alias("orig_year_std"), "acq_q_num", "vintage_ord", "state_ord")
 
 
-def latent(spark, sf):
-    """Four origination factors, the behaviour index, one cohort factor and the state."""
-    loans = fx.loan_table(spark, sf)
-    context = factors.context_columns(loans, VINTAGES)
-    matrix, _ = correlation.pearson_matrix(context, mortgage.CONTEXT_BLOCK)
-    cohort = factors.scores(
-        context, factors.fit(matrix, mortgage.CONTEXT_BLOCK, 1), ["macro_F_cohorte"], "loan_id"
-    )
-    index = factors.composite_index(loans, _BEHAVIOUR, "loan_id")
-    index = index.select("loan_id", F.col("indice").alias("comp_F_deterioro"))
-    covariates = context.select("loan_id", "state_ord", "property_state")
-    return factors.latent_space([_origination_scores(spark, sf), index, cohort], covariates, "loan_id")
-
-
 @book.query("m19_latent_space")
 def m19(spark, sf):
-    return latent(spark, sf)
+    return segments.latent_space(fx.loan_table(spark, sf))
 
 
 _TARGETS = ["is_default", "ever_d90", "ever_d180", "ever_modified", "net_severity"]
@@ -366,16 +340,13 @@ def m20(spark, sf):
     return out.withColumn("value", F.round("value", 5))
 
 
-LATENT = [*mortgage.ORIGINATION_FACTORS, "comp_F_deterioro", "macro_F_cohorte"]
-
-
 @book.query("m20_latent_outcome_correlation")
 def m20_latent(spark, sf):
     """All factors of the latent space against the outcomes of the same loans."""
-    rows = latent(spark, sf).select("loan_id", *LATENT).join(
-        fx.loan_table(spark, sf).select("loan_id", *_TARGETS), "loan_id"
-    )
-    return correlation.outcome_correlation(rows, LATENT, _TARGETS)
+    loans = fx.loan_table(spark, sf)
+    space = segments.latent_space(loans).select("loan_id", *segments.LATENT)
+    rows = space.join(loans.select("loan_id", *_TARGETS), "loan_id")
+    return correlation.outcome_correlation(rows, segments.LATENT, _TARGETS)
 
 
 @book.query(

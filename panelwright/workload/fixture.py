@@ -272,6 +272,12 @@ def loan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "loans", build)
 
 
+def loan_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Where the loan table lies, for the flows that read it by its path."""
+    loan_table(spark, sf_dir)
+    return _stored[(spark.sparkContext.applicationId, sf_dir, "loans")]
+
+
 # --- DuckDB side --------------------------------------------------------------------
 
 

@@ -97,11 +97,33 @@ def s04(spark, sf):
     return records.probe(spark, f"{raw_folder(spark, sf)}/*/*.csv")
 
 
-@book.query("s05_source_listing", f"WITH {fx.raw_cte()} SELECT DISTINCT {Q}, 0 AS valid FROM raw")
+def named_folder(spark, sf):
+    """A file per acquisition quarter. Those of first and third quarters are called after it, as a supplier names them;
+    the others keep the name of the task that wrote them."""
+    key = ("named", spark.sparkContext.applicationId, sf)
+    if key not in _written:
+        folder = scratch_folder(spark, "named")
+        few = fx.bronze_table(spark, sf).select("loan_id", "monthly_reporting_period", Q)
+        few.repartition(Q).write.partitionBy(Q).option("sep", "|").csv(folder)
+        files = listing.list_files(spark, folder, "*.csv").select("path", F.regexp_extract("path", rf"{Q}=(\d{{4}}Q[13])/", 1).alias("q"))
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        for r in files.where("q <> ''").collect():
+            old = path(r["path"])
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, path(old.getParent(), f"{r['q']}.csv"))
+        _written[key] = folder
+    return _written[key]
+
+
+@book.query(
+    "s05_source_listing",
+    f"WITH {fx.raw_cte()} SELECT {Q}, CASE WHEN substr({Q}, 6, 1) IN ('1', '3') THEN 1 ELSE 0 END AS valid, "
+    f"count(DISTINCT {Q}) AS files FROM raw GROUP BY {Q}",
+)
 def s05(spark, sf):
-    files = listing.classify(listing.list_files(spark, raw_folder(spark, sf), "*.csv"))
+    """Files per quarter and whether their names follow the pattern."""
+    files = listing.classify(listing.list_files(spark, named_folder(spark, sf), "*.csv"))
     quarter = F.regexp_extract("path", r"(\d{4}Q\d)(?!.*\d{4}Q\d)", 1)
-    return files.select(quarter.alias(Q), "valid").distinct()
+    return files.groupBy(quarter.alias(Q), "valid").agg(F.count("*").alias("files"))
 
 
 @book.query("s06_quarter_from_path", _BY_QUARTER)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelwright.operators import profiles
+from panelwright.plans import ledger, segments
 from panelwright.presets import mortgage
+from panelwright.session import scratch_folder
 from panelwright.workload import fixture as fx
 from panelwright.workload.book import Book
 from panelwright.workload.clusters import GOLD, LABELLED_CTE, labelled
@@ -226,3 +228,16 @@ _MASKED = "borrower_credit_score co_borrower_credit_score dti orig_ltv mi_percen
 )
 def m54(spark, sf):
     return profiles.missing_patterns(fx.loan_table(spark, sf), _MASKED)
+
+
+#: Rows of the flow's sample per stratum; cells smaller than that are taken whole.
+FLOW_TARGETS = {"performing": 25000, "early_dlq": 10000, "serious_dlq": 10000, "default": 5000}
+
+
+@book.query("flow_samples_to_profiles")
+def flow_samples_to_profiles(spark, sf):
+    """Sample, latent space, clusters, profile tables and names of the loans as one flow with a ledger."""
+    stages = segments.flow(FLOW_TARGETS, mortgage.SEED_A, k=4)
+    sources = {"loans": fx.loan_folder(spark, sf)}
+    done = ledger.run_flow(spark, stages, sources, scratch_folder(spark, "segments"))
+    return done["profiles"].join(done["names"].select("cluster", "auto_name"), "cluster")

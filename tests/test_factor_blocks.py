@@ -4,6 +4,7 @@ import pytest
 
 from conftest import DATA
 from panelwright.operators import correlation, factors
+from panelwright.plans import segments
 from panelwright.presets import mortgage
 from panelwright.workload import features as workload
 from panelwright.workload import fixture as fx
@@ -67,7 +68,7 @@ def test_constant_outcomes_have_no_correlation(spark):
 
 
 def test_origination_factors_load_on_their_blocks(spark):
-    model = workload.origination_model(workload._origination_block(spark, DATA))
+    model = segments.origination_model(segments.origination_block(fx.loan_table(spark, DATA)))
     assert len(model.columns) == 16
     assert np.linalg.eigvalsh(model.correlations)[0] > 0
     for j, (name, block) in enumerate(mortgage.ORIGINATION_FACTORS.items()):
@@ -77,13 +78,13 @@ def test_origination_factors_load_on_their_blocks(spark):
 
 def test_latent_outcome_correlation_equals_numpy(spark):
     # the scores are computed anew from the model's weights
-    loans = workload._origination_block(spark, DATA)
-    model = workload.origination_model(loans)
+    loans = segments.origination_block(fx.loan_table(spark, DATA))
+    model = segments.origination_model(loans)
     outcomes = fx.loan_table(spark, DATA).select("loan_id", "ever_d90").toPandas()
     block = loans.select("loan_id", *model.columns).toPandas().dropna().set_index("loan_id").astype(float)
     z = (block - block.mean()) / block.std(ddof=0)
     scores = pd.DataFrame(z.to_numpy() @ model.weights, index=block.index, columns=list(model.names))
-    latent = workload.latent(spark, DATA).select("loan_id", *workload.LATENT).toPandas().set_index("loan_id")
+    latent = segments.latent_space(fx.loan_table(spark, DATA)).select("loan_id", *segments.LATENT).toPandas().set_index("loan_id")
     merged = latent.join(outcomes.set_index("loan_id"))
     assert merged.index.is_unique and set(merged.index) <= set(scores.index)
     cells = workload.book.runs["m20_latent_outcome_correlation"](spark, DATA).where("col = 'ever_d90'").collect()
