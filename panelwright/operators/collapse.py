@@ -64,8 +64,12 @@ def _condition(last: Last) -> str:
     return f"{last.column} > 0" if last.positive else f"{last.column} IS NOT NULL"
 
 
+def _dated(pick: str, value: str, period: str, condition: str) -> str:
+    return f"{pick}(CASE WHEN {condition} THEN struct({period} AS p, {value} AS v) END)"
+
+
 def _at(pick: str, value: str, period: str, condition: str) -> str:
-    return f"{pick}(CASE WHEN {condition} THEN struct({period} AS p, {value} AS v) END).v"
+    return f"{_dated(pick, value, period, condition)}.v"
 
 
 def collapse(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -78,6 +82,49 @@ def collapse(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return row_flags(df, spec).groupBy(spec.entity).agg(*static, *behaviour(spec), *last)
 
 
+# --- partial collapse: later periods are merged into what is stored ------------------------
+
+COUNTED = ("months_delinquent_30plus", "months_delinquent_60plus", "months_delinquent_90plus")
+LEAST = ("time_to_first_delinquency", "time_to_default")
+
+
+def partial(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """One row per entity as ``collapse`` gives, but with (period, value) structs for first and last values, so that
+    two partial rows of an entity can be merged. The same single exchange."""
+    first = [F.expr(_dated("min", s, spec.period, f"{s} IS NOT NULL")).alias(s) for s in spec.static]
+    last = [F.expr(_dated("max", x.column, spec.period, _condition(x))).alias(x.alias) for x in spec.last]
+    return row_flags(df, spec).groupBy(spec.entity).agg(*first, *behaviour(spec), *last)
+
+
+def merge_partials(stored: DataFrame, new: DataFrame, spec: PanelSpec, buckets: int | None = None) -> DataFrame:
+    """Partial rows of both frames, one per entity, by one full outer join on the entity.
+
+    The frames have to come from rows of different periods; a period in both would count twice. A stored side that lies
+    in ``buckets`` of the entity is not shuffled: the new partial rows are dealt to its buckets, whatever number of
+    shuffle partitions the session asks for.
+    """
+    if buckets:
+        new = new.repartition(buckets, spec.entity)
+    first = set(spec.static) | set(LEAST)
+
+    def merged(n: str) -> Column:
+        a, b = F.col(f"s.{n}"), F.col(f"n.{n}")
+        if n in COUNTED:
+            return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+        return F.least(a, b) if n in first else F.greatest(a, b)
+
+    key = spec.entity
+    joined = stored.alias("s").join(new.alias("n"), F.col(f"s.{key}") == F.col(f"n.{key}"), "full_outer")
+    values = [merged(n).alias(n) for n in stored.columns if n != key]
+    return joined.select(F.coalesce(f"s.{key}", f"n.{key}").alias(key), *values)
+
+
+def finish(partials: DataFrame, spec: PanelSpec) -> DataFrame:
+    """The collapsed rows behind partial ones; a projection."""
+    dated = {*spec.static, *(x.alias for x in spec.last)}
+    return partials.select(*[F.col(f"{n}.v").alias(n) if n in dated else F.col(n) for n in partials.columns])
+
+
 def distribution(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """Count and share per value, most frequent first."""
     counts = with_share(df.groupBy(column).agg(F.count("*").alias("n")), "n", "pct")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelwright.functions import columns as c
 from panelwright.operators import auditing, cleaning, collapse, risk
 from panelwright.presets import mortgage
+from panelwright.session import scratch_folder
+from panelwright.sources import sinks
 from panelwright.workload import fixture as fx
 from panelwright.workload.book import Book
 
@@ -19,6 +23,27 @@ def c01(spark, sf):
     return collapse.collapse(fx.silver_table(spark, sf), SPEC)
 
 
+#: Buckets of the stored partial rows; at full size as many as keep a bucket within a task's memory.
+BUCKETS = 32
+#: Rows from this date on come as the late part.
+LATE = "2015-01-01"
+
+
+def stored_partials(spark, rows):
+    name = f"partials_{uuid.uuid4().hex}"
+    return sinks.write_bucketed(collapse.partial(rows, SPEC), name, scratch_folder(spark, "partials"), SPEC.entity, BUCKETS)
+
+
+@book.query("c01_merged_collapse", f"WITH {fx.loans_cte()} SELECT * FROM loans")
+def c01_merged(spark, sf):
+    """The earlier months are stored as partial rows in buckets; the later ones are merged into them."""
+    silver = fx.silver_table(spark, sf)
+    early = F.col(SPEC.period) < F.lit(LATE).cast("date")
+    stored = stored_partials(spark, silver.where(early))
+    late = collapse.partial(silver.where(~F.coalesce(early, F.lit(False))), SPEC)
+    return collapse.finish(collapse.merge_partials(stored, late, SPEC, BUCKETS), SPEC)
+
+
 @book.query(
     "c03_latest_by_condition",
     f"WITH {fx.silver_cte()} SELECT loan_id, "
