@@ -5,8 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from panelwright.session import stored
+
+#: Rows that a file of a partitioned table should hold.
+ROWS_PER_FILE = 2_000_000
+#: Partition values up to which their table of counts is sent to all tasks.
+BROADCAST_VALUES = 10_000
+
 
 def append_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.write.mode("append").partitionBy(*by).parquet(path)
@@ -23,6 +31,35 @@ def overwrite_partitioned(df: DataFrame, path: str, by: Sequence[str], dynamic:
     writer.parquet(path)
 
 
+def sized(
+    df: DataFrame, by: Sequence[str], spread: Sequence[str], rows_per_file: int = ROWS_PER_FILE
+) -> DataFrame:
+    """The rows dealt so that a partitioned write makes files of even size and no more than needed.
+
+    Rows are counted per partition value first. A value gets a task for every ``rows_per_file`` rows it holds, so a
+    value with a third of all rows is written by many tasks and a small one by a single task. Within a value, rows go
+    by a hash of the ``spread`` columns, which should tell most rows apart; equal rows share a file. Null values are a
+    partition like any other. An empty frame is returned as it is.
+    """
+    counts = stored(df.groupBy(*by).agg(F.count("*").alias("_rows")), "partition_counts")
+    files = F.ceil(F.col("_rows") / rows_per_file).cast("int")
+    row = counts.agg(F.count("*").alias("values"), F.sum(files).alias("files")).first()
+    if not row["values"]:
+        return df
+    # the first task of each value; the table has a row per partition folder
+    places = counts.select(*[F.col(n).alias(f"_by_{n}") for n in by], files.alias("_files"))
+    before = W.orderBy(*[f"_by_{n}" for n in by]).rowsBetween(W.unboundedPreceding, -1)
+    places = places.withColumn("_first", F.coalesce(F.sum("_files").over(before), F.lit(0)))
+    if row["values"] <= BROADCAST_VALUES:
+        places = F.broadcast(places)
+    same = F.lit(True)
+    for n in by:
+        same = same & df[n].eqNullSafe(F.col(f"_by_{n}"))
+    task = F.col("_first") + F.pmod(F.xxhash64(*[df[n] for n in spread]), F.col("_files"))
+    placed = df.join(places, same).withColumn("_task", task.cast("int"))
+    return placed.repartitionById(int(row["files"]), "_task").select(*df.columns)
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, dealt: bool = False) -> DataFrame:
     """A table in buckets of the key, a file each, at a path of its own. Joins and groupings by the key read it without
     a shuffle. ``dealt`` says that the frame comes out of such a join already, a bucket in each task."""

@@ -233,7 +233,7 @@ def k01(spark, sf):
 def k02(spark, sf):
     """Written twice and once more for some quarters only: the rows stay the same."""
     path = scratch_folder(spark, "overwrite")
-    rows = fx.bronze_table(spark, sf).select("loan_id", "msa", Q)
+    rows = sinks.sized(fx.bronze_table(spark, sf).select("loan_id", "msa", Q), [Q], ["loan_id"])
     sinks.overwrite_partitioned(rows, path, [Q])
     sinks.overwrite_partitioned(rows, path, [Q])
     sinks.overwrite_partitioned(rows.where(F.col(Q) < "2000"), path, [Q], dynamic=True)
@@ -250,7 +250,8 @@ def k03(spark, sf):
     keyed = fx.bronze_table(spark, sf).select(
         "loan_id", F.substring(Q, 1, 4).cast("int").alias("year"), F.substring(Q, 6, 1).cast("int").alias("quarter")
     )
-    sinks.overwrite_partitioned(keyed, path, ["year", "quarter"])
+    by = ["year", "quarter"]
+    sinks.overwrite_partitioned(sinks.sized(keyed, by, ["loan_id"]), path, by)
     return spark.read.parquet(path).groupBy("year", "quarter").agg(F.count("*").alias("n"))
 
 
