@@ -117,6 +117,33 @@ def distinct_estimates(df: DataFrame, columns: Sequence[str], rsd: float = 0.05)
     return per_column(df, columns, lambda n: {"distinct": F.approx_count_distinct(n, rsd)})
 
 
+def distinct_sketches(df: DataFrame, columns: Sequence[str], by: str, precision: int = 14) -> DataFrame:
+    """(by, column, rows, nulls, sketch): a mergeable sketch of the distinct values of every column and quarter.
+
+    Stored by quarter, the sketches let a new quarter cost the scan of that quarter alone. A sketch takes at most
+    2^precision bytes, whatever the number of rows, and only one per task, quarter and column is shuffled.
+    """
+    cells = [
+        F.struct(
+            F.lit(n).alias("column"),
+            F.count_if(c.is_blank(n)).alias("nulls"),
+            # the sketch passes over empty text, which counts as a value here
+            F.hll_sketch_agg(F.concat(F.lit("="), F.col(n).cast("string")), precision).alias("sketch"),
+        )
+        for n in columns
+    ]
+    grouped = df.groupBy(by).agg(F.count("*").alias("rows"), F.array(*cells).alias("cells"))
+    return grouped.select(by, "rows", F.explode("cells").alias("cell")).select(by, "cell.column", "rows", "cell.nulls", "cell.sketch")
+
+
+def merged_distinct(sketches: DataFrame) -> DataFrame:
+    """Rows, nulls and estimated distinct values per column over all quarters whose sketches are given."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy("column").agg(
+        F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), merged.alias("distinct")
+    )
+
+
 def null_profile(df: DataFrame, columns: Sequence[str], rsd: float = 0.05) -> DataFrame:
     """Null share, estimated distinct values and a status band, worst column first."""
 

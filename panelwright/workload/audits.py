@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from panelwright.functions import columns as c
 from panelwright.operators import auditing, cleaning, profiles
 from panelwright.presets import mortgage
+from panelwright.session import scratch_folder
+from panelwright.sources import sinks
 from panelwright.workload import fixture as fx
 from panelwright.workload.book import Book
 
@@ -133,6 +135,25 @@ def a08(spark, sf):
     return nulls.join(auditing.exact_distinct(raw, ACTIVE), "column")
 
 
+@book.query(
+    "a07_distinct_by_merged_sketches",
+    f"WITH {fx.raw_cte()} "
+    + _each(
+        ACTIVE,
+        lambda n: f"count(*) AS rows, count(*) FILTER (WHERE {_blank(n)}) AS nulls, count(DISTINCT {n}) AS exact, 1 AS within",
+    ),
+)
+def a07_merged(spark, sf):
+    """Sketches are stored by quarter and merged; ``within`` tells whether the estimate is within 5 % of the exact number."""
+    raw = _raw(spark, sf)
+    folder = scratch_folder(spark, "sketches")
+    sinks.overwrite_partitioned(auditing.distinct_sketches(raw, ACTIVE, mortgage.QUARTER), folder, [mortgage.QUARTER], dynamic=True)
+    merged = auditing.merged_distinct(spark.read.parquet(folder))
+    exact = auditing.exact_distinct(raw, ACTIVE).select("column", F.col("distinct").alias("exact"))
+    near = F.abs(F.col("distinct") - F.col("exact")) <= 0.05 * F.col("exact")
+    return merged.join(exact, "column").select("column", "rows", "nulls", "exact", near.cast("int").alias("within"))
+
+
 @book.query(
     "a09_expected_empty_columns",
     f"WITH {fx.raw_cte()}, filled AS ("
