@@ -77,7 +77,10 @@ def kmeans_fits(
     """
     rows = df.select(vector_to_array(column).alias("x")).where("x IS NOT NULL").persist()
     try:
-        sample = _matrix(rows.orderBy(F.rand(seed)).limit(START_ROWS).toPandas()["x"])
+        # rows are thinned before the ordering, which would bring START_ROWS of every task to the driver
+        share = (START_ROWS + 6 * math.sqrt(START_ROWS)) / max(rows.count(), 1)
+        drawn = rows.withColumn("_at", F.rand(seed)).where(F.col("_at") < share)
+        sample = _matrix(drawn.orderBy("_at").limit(START_ROWS).toPandas()["x"])
         rng = np.random.default_rng(seed)
         centres = {(k, i): _spread_start(sample, k, rng) for k in ks for i in range(starts)}
         cost: dict[tuple[int, int], float] = {}
