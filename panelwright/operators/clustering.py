@@ -1,6 +1,6 @@
 """Clusterings, their internal quality, and the choice of K.
 
-Mixtures and bisections are Spark ML; K-Means runs all starts in one pass a round. Quality needs only sums per cluster and, for the
+Bisections are Spark ML; K-Means runs all starts in one pass a round, as mixtures do (``mixtures.py``). Quality needs only sums per cluster and, for the
 Davies-Bouldin index, one pass with k centroids of d numbers at hand.
 """
 
@@ -9,12 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext, inheritable_thread_target
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, GaussianMixtureModel, KMeans
+from pyspark import TaskContext
+from pyspark.ml.clustering import BisectingKMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -25,23 +24,18 @@ from pyspark.sql import functions as F
 from panelwright.functions import columns as c
 
 
-#: Model fits that share the executors at a time.
-PARALLEL_FITS = 8
+#: Rounds in which rows are drawn as candidates for starting centroids, and how many, per centroid, a start draws in each.
+START_ROUNDS = 2
+OVERSAMPLING = 4
+#: Numbers that a task holds at a time while it measures rows against candidates.
+CELLS = 4_000_000
+#: Tasks whose sums the driver adds by itself.
+FEW_TASKS = 64
 
 
-def _fits(df: DataFrame, estimators: Sequence) -> list:
-    """Models of all estimators over one kept copy of the rows, a few at a time."""
-    kept = df.persist()
-    try:
-        with ThreadPool(min(PARALLEL_FITS, len(estimators))) as pool:
-            run = inheritable_thread_target(df.sparkSession)
-            return pool.map(lambda fit: fit(), [run(lambda e=e: e.fit(kept)) for e in estimators])
-    finally:
-        kept.unpersist()
-
-
-#: Rows, drawn at random, that the starting centroids are chosen among. All else covers all rows.
-START_ROWS = 20_000
+def _array(column: str) -> Column:
+    """The numbers of a vector; null for a null vector, which ``vector_to_array`` refuses."""
+    return F.when(F.col(column).isNotNull(), vector_to_array(column))
 
 
 @dataclass(frozen=True)
@@ -50,17 +44,96 @@ class Centroids:
     cost: float
 
 
-def _spread_start(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k rows, each drawn with a chance that grows with its squared distance from those before."""
-    chosen = [x[rng.integers(len(x))]]
-    gap = ((x - chosen[0]) ** 2).sum(1)
+def _spread_start(x: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k rows, each drawn with a chance that grows with its weight and squared distance from those before."""
+    chosen = [x[rng.choice(len(x), p=weight / weight.sum())]]
+    gap = weight * ((x - chosen[0]) ** 2).sum(1)
     for _ in range(1, k):
         share = gap / gap.sum() if gap.sum() > 0 else None
         chosen.append(x[rng.choice(len(x), p=share)])
-        gap = np.minimum(gap, ((x - chosen[-1]) ** 2).sum(1))
+        gap = np.minimum(gap, weight * ((x - chosen[-1]) ** 2).sum(1))
     return np.stack(chosen)
 
 
+def _uniform(at: np.ndarray, turn: int) -> np.ndarray:
+    """Numbers in 0..1 that follow from a row's own random number and the turn."""
+    z = at.view(np.uint64) + np.uint64((turn + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53
+
+
+def _gaps(x: np.ndarray, candidates: Sequence[np.ndarray]):
+    """Slices of the rows with, for each start, the squared distance to its nearest candidate and the candidate's place."""
+    ends = np.cumsum([len(c) for c in candidates])
+    every = np.concatenate(candidates)
+    norm = (every**2).sum(1)
+    step = max(1, CELLS // len(every))
+    for at in range(0, len(x), step):
+        part = x[at : at + step]
+        gap = np.maximum((part**2).sum(1)[:, None] - 2 * part @ every.T + norm, 0)
+        own = [gap[:, a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        yield slice(at, at + step), [g.min(1) for g in own], [g.argmin(1) for g in own]
+
+
+def _spread_starts(rows: DataFrame, ks: Sequence[int], starts: int, seed: int) -> dict[tuple[int, int], np.ndarray]:
+    """Starting centroids for every start of every K, chosen among all ``rows`` (``x, _at``; the second a random number).
+
+    Each start takes one random row and draws more in a few rounds, each row with a chance that grows with its squared distance
+    from those taken; every row then counts for its nearest candidate, and the centroids are chosen among these few by weight.
+    A round is two passes for all starts; the driver sees some OVERSAMPLING x K rows a start and round.
+    """
+    schema = "start int, at double, x array<double>"
+
+    def least(batches):
+        best = {}
+        for pdf in batches:
+            if len(pdf):
+                at = pdf["_at"].to_numpy()
+                for i in range(starts):
+                    u = _uniform(at, i)
+                    j = int(u.argmin())
+                    if i not in best or u[j] < best[i][0]:
+                        best[i] = (u[j], pdf["x"].iloc[j])
+        if best:
+            yield pd.DataFrame({"start": list(best), "at": [b[0] for b in best.values()], "x": [b[1] for b in best.values()]})
+
+    one = rows.mapInPandas(least, schema).groupBy("start").agg(F.min_by("x", "at").alias("x")).orderBy("start").collect()
+    if not one:
+        raise ValueError("there are no vectors to cluster")
+    taken = [np.array([r["x"]], float) for r in one]
+    for turn in range(START_ROUNDS):
+        cost = _summed(rows, lambda x, t=tuple(taken): sum(np.array([g.sum() for g in gaps]) for _, gaps, _ in _gaps(x, t)))
+
+        def draw(batches, turn=turn, cost=cost, taken=tuple(taken)):
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                x, at = _matrix(pdf["x"]), pdf["_at"].to_numpy()
+                for part, gaps, _ in _gaps(x, taken):
+                    for i in range(starts):
+                        chance = OVERSAMPLING * max(ks) * gaps[i] / max(cost[i], 1e-300)
+                        u = _uniform(at[part], starts * (turn + 1) + i)
+                        hit = np.flatnonzero(u < chance)
+                        if len(hit):
+                            yield pd.DataFrame({"start": i, "at": u[hit], "x": list(x[part][hit])})
+
+        for r in rows.mapInPandas(draw, schema).orderBy("start", "at").collect():
+            taken[r["start"]] = np.vstack([taken[r["start"]], r["x"]])
+    sizes = [len(t) for t in taken]
+
+    def weigh(x: np.ndarray) -> np.ndarray:
+        return sum(
+            np.concatenate([np.bincount(near, minlength=m) for near, m in zip(nears, sizes, strict=True)])
+            for _, _, nears in _gaps(x, taken)
+        )
+
+    weights = np.split(_summed(rows, weigh), np.cumsum(sizes)[:-1])
+    return {
+        (k, i): _spread_start(taken[i], weights[i], k, np.random.default_rng([seed, k, i])) for k in ks for i in range(starts)
+    }
+
+
 def kmeans_fits(
     df: DataFrame,
     ks: Sequence[int],
@@ -75,14 +148,9 @@ def kmeans_fits(
     A round is one pass over kept rows that serves every start of every K still moving, instead of a pass for each;
     a task sends k x d sums per start. A centroid without rows stays where it is.
     """
-    rows = df.select(vector_to_array(column).alias("x")).where("x IS NOT NULL").persist()
+    rows = df.select(_array(column).alias("x"), F.rand(seed).alias("_at")).where("x IS NOT NULL").persist()
     try:
-        # rows are thinned before the ordering, which would bring START_ROWS of every task to the driver
-        share = (START_ROWS + 6 * math.sqrt(START_ROWS)) / max(rows.count(), 1)
-        drawn = rows.withColumn("_at", F.rand(seed)).where(F.col("_at") < share)
-        sample = _matrix(drawn.orderBy("_at").limit(START_ROWS).toPandas()["x"])
-        rng = np.random.default_rng(seed)
-        centres = {(k, i): _spread_start(sample, k, rng) for k in ks for i in range(starts)}
+        centres = _spread_starts(rows, ks, starts, seed)
         cost: dict[tuple[int, int], float] = {}
         active = list(centres)
         for _ in range(rounds):
@@ -126,82 +194,23 @@ def kmeans(
     return kmeans_fits(df, [k], column, starts, rounds, seed)[k]
 
 
-def _mixture_starts(k: int, column: str, starts: int, rounds: int, seed: int) -> list[GaussianMixture]:
-    return [GaussianMixture(k=k, featuresCol=column, maxIter=rounds, seed=seed + i) for i in range(starts)]
-
-
-def gaussian_mixture(
-    df: DataFrame, k: int, column: str = "features", starts: int = 10, rounds: int = 300, seed: int = 42
-) -> GaussianMixtureModel:
-    """Best of several starts by likelihood."""
-    models = _fits(df.select(column), _mixture_starts(k, column, starts, rounds, seed))
-    return max(models, key=lambda m: m.summary.logLikelihood)
-
-
 def label(df: DataFrame, model, alias: str, column: str = "features") -> DataFrame:
-    """Adds the cluster of each row, from centroids or a fitted Spark model."""
+    """Adds the cluster of each row, from centroids (null for a null vector) or a fitted Spark model."""
     if isinstance(model, Centroids):
         centres = model.centres
 
         @F.pandas_udf("int")
         def nearest(vector: pd.Series) -> pd.Series:
-            if not len(vector):
-                return pd.Series([], dtype="int32")
-            return pd.Series(_distances2(_matrix(vector), centres).argmin(1).astype("int32"))
+            some, out = vector.notna(), pd.Series(pd.NA, vector.index, dtype="Int32")
+            if some.any():
+                out[some] = _distances2(_matrix(vector[some]), centres).argmin(1).astype("int32")
+            return out
 
-        return df.withColumn(alias, nearest(vector_to_array(column)))
+        return df.withColumn(alias, nearest(_array(column)))
     drop = [x for x in ("prediction", "probability") if x in df.columns]
     return model.transform(df.drop(*drop)).withColumnRenamed("prediction", alias)
 
 
-def mixture_labels(df: DataFrame, model: GaussianMixtureModel, alias: str) -> DataFrame:
-    """Label and uncertainty (one minus the largest posterior)."""
-    out = label(df, model, alias)
-    return out.withColumn(
-        "uncertainty", 1 - F.array_max(vector_to_array("probability"))
-    )
-
-
-def mixture_parameters(k: int, d: int) -> int:
-    return k - 1 + k * d + k * d * (d + 1) // 2
-
-
-def bic(log_likelihood: float, k: int, d: int, n: int) -> float:
-    return mixture_parameters(k, d) * math.log(n) - 2 * log_likelihood
-
-
-def aic(log_likelihood: float, k: int, d: int) -> float:
-    return 2 * mixture_parameters(k, d) - 2 * log_likelihood
-
-
-def log_likelihood(df: DataFrame, model: GaussianMixtureModel, column: str = "features") -> float:
-    """Log-likelihood of rows the mixture was not fitted on, summed in Arrow batches."""
-    parts = []
-    for weight, g in zip(model.weights, model.gaussians, strict=True):
-        cov = g.cov.toArray()
-        _, logdet = np.linalg.slogdet(cov)
-        parts.append((math.log(max(weight, 1e-300)), g.mean.toArray(), np.linalg.pinv(cov), logdet))
-    d = len(parts[0][1])
-
-    def total(batches):
-        s = 0.0
-        for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf["x"].to_numpy())
-                logs = np.stack(
-                    [
-                        lw - 0.5 * (d * math.log(2 * math.pi) + ld + np.einsum("ij,jk,ik->i", x - m, p, x - m))
-                        for lw, m, p, ld in parts
-                    ]
-                )
-                top = logs.max(0)
-                s += float((top + np.log(np.exp(logs - top).sum(0))).sum())
-        yield pd.DataFrame({"s": [s]})
-
-    rows = df.select(vector_to_array(column).alias("x"))
-    return rows.mapInPandas(total, "s double").agg(F.sum("s")).first()[0]
-
-
 def bisecting(df: DataFrame, k: int, column: str = "features", seed: int = 42):
     return BisectingKMeans(k=k, featuresCol=column, seed=seed).fit(df)
 
@@ -230,17 +239,106 @@ def ward_groups(centroids: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
     return labels
 
 
+class FeatureTree:
+    """Clustering features (number, sum, sum of squared lengths) of at most ``most`` leaves, each within a radius of its first mean.
+
+    The radius starts at that of the features put in and grows by half whenever there are too many leaves, so that their number is
+    bounded for any number of rows and every row counts. Leaves lie flat: they are few enough to be searched by one matrix product.
+    """
+
+    def __init__(self, most: int, radius: float = 0.0) -> None:
+        self.most, self.radius = most, radius
+        self.leaves: np.ndarray | None = None
+
+    @staticmethod
+    def of(x: np.ndarray) -> np.ndarray:
+        """A feature for each row."""
+        return np.hstack([np.ones((len(x), 1)), x, (x**2).sum(1, keepdims=True)])
+
+    def add(self, features: np.ndarray) -> None:
+        pending = features
+        if self.leaves is not None:
+            centres = self.leaves[:, 1:-1] / self.leaves[:, :1]
+            means = pending[:, 1:-1] / pending[:, :1]
+            gap = (means**2).sum(1)[:, None] - 2 * means @ centres.T + (centres**2).sum(1)
+            near = gap.argmin(1)
+            close = ((means - centres[near]) ** 2).sum(1) <= self.radius**2
+            np.add.at(self.leaves, near[close], pending[close])
+            pending = pending[~close]
+        grown = [] if self.leaves is None else list(self.leaves)
+        while len(pending):
+            means = pending[:, 1:-1] / pending[:, :1]
+            close = ((means - means[0]) ** 2).sum(1) <= self.radius**2
+            grown.append(pending[close].sum(0))
+            pending = pending[~close]
+            if len(grown) > self.most:
+                self._widen(grown)
+                self.leaves = None
+                self.add(np.vstack([*grown, pending]))
+                return
+        self.leaves = np.array(grown) if grown else None
+
+    def _widen(self, grown: list[np.ndarray]) -> None:
+        """A radius that joins at least the nearer half of a few leaves with their neighbours."""
+        means = np.array([g[1:-1] / g[0] for g in grown])
+        few = means[:: max(1, len(means) // 64)]
+        gap = _distances2(means, few)
+        nearest = np.sqrt(np.where(gap > 0, gap, np.inf).min(0))
+        found = np.median(nearest[np.isfinite(nearest)]) if np.isfinite(nearest).any() else 0.0
+        self.radius = max(1.5 * self.radius, float(found), 1e-12)
+
+
+def feature_tree(df: DataFrame, most: int = 1024, column: str = "features") -> np.ndarray:
+    """Clustering features of all rows, at most ``most``: built by each task, then merged thirty-two trees at a time.
+
+    Null vectors take no part. Which rows share a leaf depends on their order; numbers and sums add up to those of all rows.
+    """
+    rows = df.select(_array(column).alias("x")).where("x IS NOT NULL")
+    schema = "part int, radius double, v binary, width int"
+
+    def packed(tree: FeatureTree, part: int) -> pd.DataFrame:
+        row = {"part": [part], "radius": [tree.radius], "v": [tree.leaves.tobytes()], "width": [tree.leaves.shape[1]]}
+        return pd.DataFrame(row)
+
+    def build(batches):
+        tree = FeatureTree(most)
+        for pdf in batches:
+            if len(pdf):
+                tree.add(FeatureTree.of(_matrix(pdf["x"])))
+        if tree.leaves is not None:
+            yield packed(tree, TaskContext.get().partitionId())
+
+    def together(pdf: pd.DataFrame) -> FeatureTree:
+        tree = FeatureTree(most, float(pdf["radius"].max()))
+        for v, width in zip(pdf["v"], pdf["width"], strict=True):
+            tree.add(np.frombuffer(v, float).reshape(-1, width))
+        return tree
+
+    trees, tasks = rows.mapInPandas(build, schema), rows.rdd.getNumPartitions()
+    while tasks > 32:
+        tasks = math.ceil(tasks / 32)
+        trees = trees.groupBy((F.col("part") % tasks).alias("part")).applyInPandas(
+            lambda key, pdf: packed(together(pdf), int(key[0])), schema
+        )
+    found = trees.orderBy("part").toPandas()
+    return together(found).leaves if len(found) else np.zeros((0, 2))
+
+
 def hierarchical(
-    df: DataFrame, k: int, micro: int = 200, column: str = "features", alias: str = "cluster", seed: int = 42
+    df: DataFrame, k: int, micro: int = 1024, column: str = "features", alias: str = "cluster"
 ) -> DataFrame:
-    """Ward grouping of many small K-Means clusters. All rows are clustered by Spark;
-    only the ``micro`` centroids and sizes are grouped by the driver."""
-    model = KMeans(k=micro, featuresCol=column, maxIter=30, seed=seed).fit(df)
-    sizes = np.array(model.summary.clusterSizes, float)
-    groups = ward_groups(np.array(model.clusterCenters()), np.maximum(sizes, 1e-9), k)
-    lookup = F.array(*[F.lit(int(g)) for g in groups])
-    out = label(df, model, "_micro")
-    return out.withColumn(alias, F.get(lookup, F.col("_micro"))).drop("_micro")
+    """Ward grouping of the leaves of a clustering-feature tree over all rows; a row belongs to the group of its nearest leaf.
+
+    Only the leaves, at most ``micro``, are grouped by the driver. With as many leaves as distinct rows the groups are Ward's own.
+    A null vector gets no group.
+    """
+    leaves = feature_tree(df, micro, column)
+    if not len(leaves):
+        return df.withColumn(alias, F.lit(None).cast("int"))
+    centres = leaves[:, 1:-1] / leaves[:, :1]
+    groups = ward_groups(centres, leaves[:, 0], k)
+    out = label(df, Centroids(centres, math.nan), "_micro", column)
+    return out.withColumn(alias, F.get(F.lit([int(g) for g in groups]), F.col("_micro"))).drop("_micro")
 
 
 # --- internal quality ----------------------------------------------------------------------
@@ -379,34 +477,6 @@ def generalisation(table: DataFrame) -> DataFrame:
     return with_drop.withColumn("best", (F.col("k") == best).cast("int")).orderBy("k")
 
 
-def mixture_sweep(
-    train: DataFrame,
-    validation: DataFrame,
-    ks: Sequence[int],
-    column: str = "features",
-    starts: int = 5,
-    rounds: int = 100,
-    seed: int = 42,
-) -> DataFrame:
-    n_train, n_val = train.count(), validation.count()
-    models = _fits(train.select(column), [e for k in ks for e in _mixture_starts(k, column, starts, rounds, seed)])
-    rows = []
-    for i, k in enumerate(ks):
-        model = max(models[i * starts : (i + 1) * starts], key=lambda m: m.summary.logLikelihood)
-        d = len(model.gaussians[0].mean)
-        fitted = model.summary.logLikelihood
-        rows.append(
-            (
-                k,
-                aic(fitted, k, d),
-                bic(fitted, k, d, n_train),
-                bic(log_likelihood(validation, model, column), k, d, n_val),
-            )
-        )
-    schema = "k int, aic double, bic_train double, bic_validation double"
-    return generalisation(train.sparkSession.createDataFrame(rows, schema))
-
-
 # --- soft assignment and its refinement ------------------------------------------------------
 
 
@@ -463,8 +533,9 @@ def label_change(df: DataFrame, before: str, after: str) -> DataFrame:
 
 def _summed(rows: DataFrame, compute) -> np.ndarray:
     """Sum over all rows of a fixed-length vector that ``compute`` gives for a batch of them; one pass. Each task sends one
-    row; the rows are added in groups of about the square root of their number, so that the driver adds few."""
-    groups = max(1, math.isqrt(rows.rdd.getNumPartitions()))
+    row; the rows of many tasks are added in groups of about the square root of their number, so that the driver adds few."""
+    tasks = rows.rdd.getNumPartitions()
+    groups = max(1, math.isqrt(tasks))
 
     def partial(batches):
         total = None
@@ -479,7 +550,10 @@ def _summed(rows: DataFrame, compute) -> np.ndarray:
         total = sum(np.frombuffer(v, float) for v in pdf["v"])
         return pd.DataFrame({"v": [total.tobytes()]})
 
-    sums = rows.mapInPandas(partial, "part int, v binary").groupBy("part").applyInPandas(added, "v binary").collect()
+    sums = rows.mapInPandas(partial, "part int, v binary")
+    if tasks > FEW_TASKS:
+        sums = sums.groupBy("part").applyInPandas(added, "v binary")
+    sums = sums.collect()
     return sum(np.frombuffer(r["v"], float) for r in sums)
 
 

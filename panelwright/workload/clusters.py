@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from panelwright.operators import agreement, clustering, sampling
+from panelwright.operators import agreement, clustering, mixtures, sampling
 from panelwright.functions import columns as c
 from panelwright.workload import embedding as embedding_book
 from panelwright.workload import fixture as fx
@@ -36,18 +36,17 @@ def _scores(spark, sf):
 @book.query("m28_gaussian_mixture")
 def m28(spark, sf):
     rows = _scores(spark, sf)
-    model = clustering.gaussian_mixture(rows, 3)
-    return clustering.mixture_labels(rows, model, "cluster").select("vec_id", "cluster", "uncertainty")
+    model = mixtures.gaussian_mixture(rows, 3)
+    return mixtures.mixture_labels(rows, model, "cluster").select("vec_id", "cluster", "uncertainty")
 
 
 @book.query("m29_mixture_bic_aic")
 def m29(spark, sf):
     rows = _scores(spark, sf)
     n, found = rows.count(), []
-    for k in K_RANGE:
-        model = clustering.gaussian_mixture(rows, k, starts=5, rounds=100)
-        ll, d = model.summary.logLikelihood, len(model.gaussians[0].mean)
-        found.append((k, clustering.mixture_parameters(k, d), clustering.bic(ll, k, d, n), clustering.aic(ll, k, d)))
+    for k, model in mixtures.fit_mixtures(rows, K_RANGE, starts=5, rounds=100).items():
+        ll, d = model.log_likelihood, model.d
+        found.append((k, mixtures.mixture_parameters(k, d), mixtures.bic(ll, k, d, n), mixtures.aic(ll, k, d)))
     return spark.createDataFrame(found, "k int, parameters int, bic double, aic double")
 
 
@@ -115,7 +114,7 @@ def m33(spark, sf):
 def m34(spark, sf):
     rows = sampling.hash_split(_scores(spark, sf), "vec_id", 0.8, 42)
     train, validation = (rows.where(F.col("split") == s).drop("split") for s in ("train", "validation"))
-    return clustering.mixture_sweep(train, validation, K_RANGE)
+    return mixtures.mixture_sweep(train, validation, K_RANGE)
 
 
 def _label_means(spark, sf):
@@ -191,7 +190,7 @@ def m39(spark, sf):
     soft = clustering.soft_assignment(rows, "x", centres)
     labelled = {
         "k-means": clustering.label(rows, model, "cluster"),
-        "mixture": clustering.mixture_labels(rows, clustering.gaussian_mixture(rows, 6), "cluster"),
+        "mixture": mixtures.mixture_labels(rows, mixtures.gaussian_mixture(rows, 6), "cluster"),
         "ward": clustering.hierarchical(rows, 6),
         "soft assignment": soft.withColumn("cluster", clustering.hard_label("q")),
     }

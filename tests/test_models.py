@@ -3,11 +3,12 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from panelwright.functions import stats
-from panelwright.operators import agreement, clustering, correlation, embedding, factors, features
+from panelwright.operators import agreement, clustering, correlation, embedding, factors, features, mixtures
 
 
 def test_distribution_functions():
@@ -119,10 +120,13 @@ def test_internal_indices_match_their_definition(blobs):
 
 
 def test_mixture_likelihood_matches_spark(blobs):
-    model = clustering.gaussian_mixture(blobs, 4, rounds=50)
-    again = clustering.log_likelihood(blobs, model)
-    assert again == pytest.approx(model.summary.logLikelihood, rel=1e-2)
-    assert clustering.mixture_parameters(3, 4) == 2 + 12 + 30
+    model = mixtures.gaussian_mixture(blobs, 4, rounds=50)
+    again = mixtures.log_likelihood(blobs, model)
+    spark_fits = [GaussianMixture(k=4, seed=i, maxIter=100).fit(blobs.select("features")) for i in range(5)]
+    best = max(m.summary.logLikelihood for m in spark_fits)
+    assert again == pytest.approx(model.log_likelihood)
+    assert again == pytest.approx(best, rel=1e-3)
+    assert mixtures.mixture_parameters(3, 4) == 2 + 12 + 30
 
 
 def test_refinement_sharpens_and_stops(blobs):
