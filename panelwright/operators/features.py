@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.functions import columns as c
@@ -15,6 +17,10 @@ from panelwright.functions.stats import normal_ppf
 from panelwright.operators import ranking
 
 MISSING = "MISSING"
+#: Label of the values that a bounded vocabulary leaves out.
+OVERFLOW = "OVERFLOW"
+#: Distinct values that one task puts in order to find the most frequent ones.
+VALUES_PER_TASK = 50_000
 
 
 def encode_ordinals(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -89,6 +95,76 @@ def one_hot_columns(df: DataFrame, labels: Mapping[str, Sequence[str]]) -> DataF
     return df.withColumns(extra)
 
 
+def label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, label, n``: rows of each value of each column, null as MISSING; one exchange, combined before it."""
+    cells = [
+        F.struct(F.lit(n).alias("column"), F.coalesce(F.col(n).cast("string"), F.lit(MISSING)).alias("label")) for n in columns
+    ]
+    long = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    return long.groupBy("column", "label").agg(F.count("*").alias("n"))
+
+
+def frequent_labels(
+    df: DataFrame, columns: Sequence[str], most: int = 100, declared: Mapping[str, Sequence[str]] | None = None
+) -> dict[str, list[str]]:
+    """Per column the labels of a vocabulary of at most ``most``: the declared ones, and for the rest the most frequent (ties by
+    label), sorted. OVERFLOW comes last in a column that has other values; a value of that very name counts among them.
+
+    Counts are exact. The distinct values of a column are ranked in parts of some VALUES_PER_TASK, so that neither a task nor the
+    driver sees them whole; the driver gets at most ``most`` + 1 labels a column. More declared labels than ``most`` are an error.
+    A column without rows keeps its declared labels.
+    """
+    declared = {n: list(dict.fromkeys((declared or {}).get(n, ()))) for n in columns}
+    for n, known in declared.items():
+        if len(known) > most:
+            raise ValueError(f"column {n} has {len(known)} declared labels, the vocabulary at most {most}")
+        if OVERFLOW in known:
+            raise ValueError(f"column {n} declares the label of the overflow")
+    must = reduce(
+        lambda a, b: a | b,
+        [(F.col("column") == n) & F.col("label").isin(*known) for n, known in declared.items() if known],
+        F.lit(False),
+    )
+    counts = label_counts(df, columns).where(~must)
+    # one more than the room left tells whether any value is left out
+    room = F.element_at(F.create_map(*[F.lit(x) for n in columns for x in (n, most - len(declared[n]) + 1)]), F.col("column"))
+    parts = counts.select(F.greatest(F.ceil(F.count("*") / VALUES_PER_TASK), F.lit(1))).scalar()
+    order = [(F.col("label") == OVERFLOW).cast("int"), F.desc("n"), F.col("label")]
+    ranked = (
+        counts.withColumn("part", F.pmod(F.xxhash64("label"), parts))
+        .withColumn("place", F.row_number().over(W.partitionBy("column", "part").orderBy(*order)))
+        .where(F.col("place") <= room)
+        .withColumn("place", F.row_number().over(W.partitionBy("column").orderBy(*order)))
+        .where(F.col("place") <= room)
+    )
+    found = {n: list(known) for n, known in declared.items()}
+    over = set()
+    for r in ranked.select("column", "label", "place", room.alias("room")).collect():
+        if r["place"] == r["room"] or r["label"] == OVERFLOW:
+            over.add(r["column"])
+        else:
+            found[r["column"]].append(r["label"])
+    return {n: sorted(found[n]) + ([OVERFLOW] if n in over else []) for n in columns}
+
+
+def one_hot_bounded(df: DataFrame, labels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """0/1 column per label of a ``frequent_labels`` vocabulary; what it leaves out counts as OVERFLOW.
+
+    A value that is in no label of a column without OVERFLOW, as new data may have, is an error of the running job.
+    """
+    extra = {}
+    for n, known in labels.items():
+        own = [x for x in known if x != OVERFLOW]
+        value = F.coalesce(F.col(n).cast("string"), F.lit(MISSING))
+        if OVERFLOW in known:
+            other = F.lit(OVERFLOW)
+        else:
+            other = F.raise_error(F.concat(F.lit(f"column {n} has no label for "), value)).cast("string")
+        value = F.when(value.isin(*own), value).otherwise(other)
+        extra |= {f"{n}__{x}": (value == x).cast("int") for x in known}
+    return df.withColumns(extra)
+
+
 def one_hot_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The same through ``StringIndexer`` and ``OneHotEncoder``: one vector per column."""
     filled = df.withColumns({f"{n}_cat": F.coalesce(F.col(n).cast("string"), F.lit(MISSING)) for n in columns})

@@ -96,6 +96,29 @@ def m05_vectors(spark, sf):
     return out.select("loan_id", *[F.col(f"{n}_hot").cast("string").alias(n) for n in _HOT])
 
 
+_OPEN = ["property_state", "origination_date", "loan_id"]
+_MOST = 8
+
+
+@book.query(
+    "m05_bounded_vocabulary",
+    f"{GOLD}, cells AS ("
+    + " UNION ALL ".join(f"SELECT '{n}' AS col, coalesce(cast({n} AS varchar), 'MISSING') AS label FROM gold" for n in _OPEN)
+    + "), counts AS (SELECT col, label, count(*) AS n FROM cells GROUP BY 1, 2), "
+    "ranked AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY n DESC, label) AS place FROM counts) "
+    f"SELECT col AS \"column\", CASE WHEN place <= {_MOST} THEN label ELSE '{features.OVERFLOW}' END AS label, "
+    "cast(sum(n) AS bigint) AS n FROM ranked GROUP BY 1, 2",
+)
+def m05_bounded(spark, sf):
+    loans = fx.loan_table(spark, sf).select(*_OPEN)
+    labels = features.frequent_labels(loans, _OPEN, _MOST)
+    hot = features.one_hot_bounded(loans, labels)
+    names = [(n, x) for n in _OPEN for x in labels[n]]
+    sums = hot.agg(*[F.sum(F.col(f"`{n}__{x}`")).alias(f"s{i}") for i, (n, x) in enumerate(names)])
+    cells = [F.struct(F.lit(n).alias("column"), F.lit(x).alias("label"), F.col(f"s{i}").alias("n")) for i, (n, x) in enumerate(names)]
+    return sums.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+
 _SCALED = ["orig_upb", "orig_ltv", "loan_duration_months"]
 
 
