@@ -98,10 +98,10 @@ def _spread_starts(rows: DataFrame, ks: Sequence[int], starts: int, seed: int) -
         if best:
             yield pd.DataFrame({"start": list(best), "at": [b[0] for b in best.values()], "x": [b[1] for b in best.values()]})
 
-    one = rows.mapInPandas(least, schema).groupBy("start").agg(F.min_by("x", "at").alias("x")).orderBy("start").collect()
+    one = rows.mapInPandas(least, schema).groupBy("start").agg(F.min_by("x", "at").alias("x")).collect()
     if not one:
         raise ValueError("there are no vectors to cluster")
-    taken = [np.array([r["x"]], float) for r in one]
+    taken = [np.array([r["x"]], float) for r in sorted(one, key=lambda r: r["start"])]
     for turn in range(START_ROUNDS):
         cost = _summed(rows, lambda x, t=tuple(taken): sum(np.array([g.sum() for g in gaps]) for _, gaps, _ in _gaps(x, t)))
 
@@ -118,7 +118,8 @@ def _spread_starts(rows: DataFrame, ks: Sequence[int], starts: int, seed: int) -
                         if len(hit):
                             yield pd.DataFrame({"start": i, "at": u[hit], "x": list(x[part][hit])})
 
-        for r in rows.mapInPandas(draw, schema).orderBy("start", "at").collect():
+        # sorted here, as an ordering by Spark would draw twice
+        for r in sorted(rows.mapInPandas(draw, schema).collect(), key=lambda r: (r["start"], r["at"])):
             taken[r["start"]] = np.vstack([taken[r["start"]], r["x"]])
     sizes = [len(t) for t in taken]
 
@@ -303,8 +304,9 @@ def feature_tree(df: DataFrame, most: int = 1024, column: str = "features") -> n
     def build(batches):
         tree = FeatureTree(most)
         for pdf in batches:
-            if len(pdf):
-                tree.add(FeatureTree.of(_matrix(pdf["x"])))
+            # no more rows at a time than leaves, so that a radius that is too small costs little
+            for at in range(0, len(pdf), most):
+                tree.add(FeatureTree.of(_matrix(pdf["x"].iloc[at : at + most])))
         if tree.leaves is not None:
             yield packed(tree, TaskContext.get().partitionId())
 
@@ -320,7 +322,7 @@ def feature_tree(df: DataFrame, most: int = 1024, column: str = "features") -> n
         trees = trees.groupBy((F.col("part") % tasks).alias("part")).applyInPandas(
             lambda key, pdf: packed(together(pdf), int(key[0])), schema
         )
-    found = trees.orderBy("part").toPandas()
+    found = trees.toPandas().sort_values("part")
     return together(found).leaves if len(found) else np.zeros((0, 2))
 
 
