@@ -370,3 +370,17 @@ def test_labellers_learn_who_is_right():
     right = labels.chance[1, :, 2]  # votes good on good documents
     assert right[0] > 0.9 and right[1] > 0.8 and abs(right[2] - 0.5) < 0.1
     assert abs(labels.prior - 0.8) < 0.1
+
+
+def test_passages_of_few_rare_and_few_frequent_seeds(spark):
+    runs = [[f"r{i}w{j}" for j in range(5 if i == 0 else 4)] for i in range(10)]
+    line = [f"line{j}" for j in range(12)]
+
+    def text(parts, name):  # a word of its own between the parts
+        return " ".join(w for i, part in enumerate(parts) for w in [*([f"{name}x{i}"] if i else []), *part])
+
+    # the first five runs are in 22 texts, the others in two: 6 frequent and 5 rare seeds in common
+    docs = [(n, text([*runs[:5], line], f"n{n}")) for n in range(20)]
+    docs += [(100, text(runs, "a")), (200, text(runs, "b"))]
+    got = chaining.passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["source_id"], r["start"], r["end"]) for r in got] == [(200, 100, 0, 50)]
