@@ -57,7 +57,7 @@ def ingest_pending(
     doubled. Files whose path names no quarter are not loaded; ``rejected`` lists them. The driver handles file paths, as many as there are
     source files; the records stay with the executors.
     """
-    scan = spark.read.schema(rules.raw_schema).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+    scan = spark.read.schema(rules.raw_schema).option("pathGlobFilter", "*.{csv,csv.gz}").option("recursiveFileLookup", "true")
     scanned = scan.csv(source)
     _report(scanned, target)
     files = listing.source_files(scanned, partition)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -14,10 +15,26 @@ from panelwright.session import stored
 ROWS_PER_FILE = 2_000_000
 #: Partition values up to which their table of counts is sent to all tasks.
 BROADCAST_VALUES = 10_000
+#: Files that a task of a partitioned write keeps open: three decades of quarters.
+OPEN_FILES = 128
+
+
+@contextmanager
+def open_files(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
+    """Partitioned writes inside keep up to ``files`` files of a task open, so that wide rows need no sort by partition
+    and no spill of it; a task that meets more partition values sorts the rest."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def append_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    df.write.mode("append").partitionBy(*by).parquet(path)
+    with open_files(df.sparkSession):
+        df.write.mode("append").partitionBy(*by).parquet(path)
 
 
 def overwrite_partitioned(df: DataFrame, path: str, by: Sequence[str], dynamic: bool = False) -> None:
@@ -28,7 +45,8 @@ def overwrite_partitioned(df: DataFrame, path: str, by: Sequence[str], dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.option("partitionOverwriteMode", "static")
-    writer.parquet(path)
+    with open_files(df.sparkSession):
+        writer.parquet(path)
 
 
 def sized(

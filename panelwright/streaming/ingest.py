@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from panelwright.sources.records import with_quarter
+from panelwright.sources.sinks import open_files
 from panelwright.spec import CleanRules
 
 
@@ -27,12 +28,13 @@ def ingest_new_files(
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(source)
     )
-    return (
+    writer = (
         with_quarter(records, partition)
         .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .partitionBy(partition)
         .trigger(availableNow=True)
-        .start()
     )
+    with open_files(spark):  # a stream keeps the settings it is started with
+        return writer.start()

@@ -70,17 +70,17 @@ def _distribution_sql(column: str, limit: str = "") -> str:
 
 @book.query("c11_default_distribution", _distribution_sql("is_default"))
 def c11_default(spark, sf):
-    return collapse.distribution(fx.loan_table(spark, sf), "is_default")
+    return collapse.distribution(fx.loan_table(spark, sf, "is_default"), "is_default")
 
 
 @book.query("c11_final_code_top10", _distribution_sql("final_zero_balance_code", "LIMIT 10"))
 def c11_codes(spark, sf):
-    return collapse.distribution(fx.loan_table(spark, sf), "final_zero_balance_code", top=10)
+    return collapse.distribution(fx.loan_table(spark, sf, "final_zero_balance_code"), "final_zero_balance_code", top=10)
 
 
 @book.query("c11_stratum_distribution", _distribution_sql("stratum"))
 def c11_stratum(spark, sf):
-    return collapse.distribution(fx.loan_table(spark, sf), "stratum")
+    return collapse.distribution(fx.loan_table(spark, sf, "stratum"), "stratum")
 
 
 _CELLS = (

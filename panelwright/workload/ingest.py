@@ -21,12 +21,13 @@ _written: dict[tuple, str] = {}
 
 
 def raw_folder(spark, sf):
-    """Folder with one sub-folder of delimited files per acquisition quarter."""
+    """Folder with one sub-folder of compressed delimited files per acquisition quarter."""
     key = ("raw", spark.sparkContext.applicationId, sf)
     if key not in _written:
         folder = scratch_folder(spark, "raw")
-        writer = fx.bronze_table(spark, sf).write.partitionBy(Q)
-        writer.option("sep", "|").option("emptyValue", "").csv(folder)
+        writer = fx.bronze_by_quarter(spark, sf).write.partitionBy(Q)
+        with sinks.open_files(spark):
+            writer.option("sep", "|").option("emptyValue", "").option("compression", "gzip").csv(folder)
         _written[key] = folder
     return _written[key]
 
@@ -35,14 +36,14 @@ def silver_folder(spark, sf):
     key = ("silver", spark.sparkContext.applicationId, sf)
     if key not in _written:
         folder = scratch_folder(spark, "silver")
-        sinks.overwrite_partitioned(fx.silver_table(spark, sf), folder, [Q])
+        sinks.overwrite_partitioned(cleaning.clean(fx.bronze_by_quarter(spark, sf), RULES), folder, [Q])
         _written[key] = folder
     return _written[key]
 
 
 def _records(spark, sf):
     folder = raw_folder(spark, sf)
-    return records.read_records(spark, f"{folder}/*/*.csv", RULES.raw_schema)
+    return records.read_records(spark, f"{folder}/*/*.csv.gz", RULES.raw_schema)
 
 
 _BY_QUARTER = (
@@ -70,7 +71,7 @@ def s01(spark, sf):
 
 @book.query("s02_list_of_paths_scan", _BY_QUARTER)
 def s02(spark, sf):
-    files = listing.list_files(spark, raw_folder(spark, sf), "*.csv").select("path").collect()
+    files = listing.list_files(spark, raw_folder(spark, sf), "*.csv.gz").select("path").collect()
     raw = records.read_records(spark, [r["path"] for r in files], RULES.raw_schema)
     return _by_quarter(records.with_quarter(raw, Q))
 
@@ -83,7 +84,7 @@ def s02(spark, sf):
 def s03(spark, sf):
     folder = raw_folder(spark, sf)
     schema = records.infer_schema(spark, f"{folder}/{Q}=2005Q1")
-    raw = records.read_records(spark, f"{folder}/*/*.csv", schema)
+    raw = records.read_records(spark, f"{folder}/*/*.csv.gz", schema)
     return raw.groupBy(F.trim("_c3").alias("channel")).agg(
         F.count("*").alias("n"), F.round(F.sum(F.col("_c9").cast("double")), 2).alias("amount")
     )
@@ -94,7 +95,7 @@ def s03(spark, sf):
     f"WITH {fx.raw_cte()} SELECT count(*) AS rows, 110 AS columns FROM raw",
 )
 def s04(spark, sf):
-    return records.probe(spark, f"{raw_folder(spark, sf)}/*/*.csv")
+    return records.probe(spark, f"{raw_folder(spark, sf)}/*/*.csv.gz")
 
 
 def named_folder(spark, sf):
@@ -154,7 +155,7 @@ def s08(spark, sf):
 @book.query("s09_resumable_ingest", _BY_QUARTER)
 def s09(spark, sf):
     source, target = raw_folder(spark, sf), scratch_folder(spark, "bronze")
-    stages.ingest(spark, f"{source}/{Q}=19*/*.csv", target, RULES, Q)
+    stages.ingest(spark, f"{source}/{Q}=19*/*.csv.gz", target, RULES, Q)
     stages.ingest_pending(spark, source, target, RULES, Q)
     stages.ingest_pending(spark, source, target, RULES, Q)
     return _by_quarter(spark.read.parquet(target))
@@ -176,7 +177,7 @@ _EXPORT = ["loan_id", Q, "stratum", "vintage_bin", "final_zero_balance_code", "o
 @book.query("s10_header_csv_with_schema", f"WITH {fx.gold_cte()} SELECT {', '.join(_EXPORT)} FROM gold")
 def s10(spark, sf):
     path = scratch_folder(spark, "export")
-    loans = fx.loan_table(spark, sf).select(*_EXPORT)
+    loans = fx.loan_table(spark, sf, *_EXPORT)
     sinks.export_csv(loans, path)
     return records.read_records(spark, path, loans.schema, sep=",", header=True)
 
@@ -258,7 +259,7 @@ def k03(spark, sf):
 @book.query("k04_fixed_file_count", f"WITH {fx.gold_cte()} SELECT count(*) AS n, 4 AS files FROM gold")
 def k04(spark, sf):
     path = scratch_folder(spark, "four-files")
-    sinks.write_files(fx.loan_table(spark, sf).select("loan_id", "stratum"), path, 4)
+    sinks.write_files(fx.loan_table(spark, sf, "loan_id", "stratum"), path, 4)
     files = listing.list_files(spark, path, "*.parquet").select(F.count("*").cast("int")).scalar()
     return spark.read.parquet(path).agg(F.count("*").alias("n")).withColumn("files", files)
 
@@ -266,7 +267,7 @@ def k04(spark, sf):
 @book.query("k05_single_csv", f"WITH {fx.gold_cte()} SELECT count(*) AS n, 1 AS files FROM gold")
 def k05(spark, sf):
     path = scratch_folder(spark, "one-csv")
-    loans = fx.loan_table(spark, sf).select("loan_id", "stratum")
+    loans = fx.loan_table(spark, sf, "loan_id", "stratum")
     sinks.export_single_csv(loans, path)
     files = listing.list_files(spark, path, "*.csv").select(F.count("*").cast("int")).scalar()
     back = records.read_records(spark, path, loans.schema, sep=",", header=True)

@@ -161,7 +161,7 @@ def m49(spark, sf):
     "round(count(*) / (sum(count(*)) OVER () * w), 6) AS density FROM b GROUP BY bin, lo, w",
 )
 def m50(spark, sf):
-    out = profiles.histogram(fx.loan_table(spark, sf), "orig_ltv", 30)
+    out = profiles.histogram(fx.loan_table(spark, sf, "orig_ltv"), "orig_ltv", 30)
     return out.withColumns({"from": F.round("from", 5), "to": F.round("to", 5), "density": F.round("density", 6)})
 
 
@@ -227,7 +227,7 @@ _MASKED = "borrower_credit_score co_borrower_credit_score dti orig_ltv mi_percen
     + ") AS pattern, count(*) AS n FROM gold GROUP BY 1",
 )
 def m54(spark, sf):
-    return profiles.missing_patterns(fx.loan_table(spark, sf), _MASKED)
+    return profiles.missing_patterns(fx.loan_table(spark, sf, *_MASKED), _MASKED)
 
 
 #: Rows of the flow's sample per stratum; cells smaller than that are taken whole.

@@ -46,7 +46,7 @@ def o04(spark, sf):
     "SELECT loan_id, stratum FROM keyed ORDER BY u, loan_id LIMIT 1000",
 )
 def o05(spark, sf):
-    loans = fx.loan_table(spark, sf).select("loan_id", "stratum")
+    loans = fx.loan_table(spark, sf, "loan_id", "stratum")
 
     def by_number(key, seed):
         return c.modular_fraction(F.col(key).cast("bigint"), seed)
@@ -85,7 +85,7 @@ def o08(spark, sf):
 
 @book.query("o08_sample_by")
 def o08_by(spark, sf):
-    loans = fx.loan_table(spark, sf).select("loan_id", "sample_key", "stratum", "vintage_bin")
+    loans = fx.loan_table(spark, sf, "loan_id", "sample_key", "stratum", "vintage_bin")
     return sampling.stratified_by(loans, _fractions(loans), 42).select("loan_id", "sample_key")
 
 
