@@ -29,8 +29,9 @@ START_ROUNDS = 2
 OVERSAMPLING = 4
 #: Numbers that a task holds at a time while it measures rows against candidates.
 CELLS = 4_000_000
-#: Tasks whose sums the driver adds by itself.
+#: Tasks whose sums the driver adds by itself, and how many numbers they may have in all.
 FEW_TASKS = 64
+FEW_NUMBERS = 20_000
 
 
 def _array(column: str) -> Column:
@@ -155,7 +156,8 @@ def kmeans_fits(
         cost: dict[tuple[int, int], float] = {}
         active = list(centres)
         for _ in range(rounds):
-            found, at = _summed(rows, _cluster_sums({c: centres[c] for c in active})), 0
+            size = sum(centres[c].size + len(centres[c]) + 1 for c in active)
+            found, at = _summed(rows, _cluster_sums({c: centres[c] for c in active}), size), 0
             for c in list(active):
                 k, d = centres[c].shape
                 total, n = found[at : at + k * d].reshape(k, d), found[at + k * d : at + k * d + k]
@@ -533,11 +535,12 @@ def label_change(df: DataFrame, before: str, after: str) -> DataFrame:
     return df.agg(F.avg((F.col(before) != F.col(after)).cast("double")).alias("changed"))
 
 
-def _summed(rows: DataFrame, compute) -> np.ndarray:
-    """Sum over all rows of a fixed-length vector that ``compute`` gives for a batch of them; one pass. Each task sends one
-    row; the rows of many tasks are added in groups of about the square root of their number, so that the driver adds few."""
+def _summed(rows: DataFrame, compute, size: int = 0) -> np.ndarray:
+    """Sum over all rows of a fixed-length vector that ``compute`` gives for a batch of them; one pass. Each task makes one
+    row. Those of many tasks, or of vectors whose ``size`` is known to be large, are added by tasks, first in groups of about the
+    square root of their number, so that the driver gets one vector whatever the number of tasks."""
     tasks = rows.rdd.getNumPartitions()
-    groups = max(1, math.isqrt(tasks))
+    groups = max(1, math.isqrt(tasks)) if tasks > FEW_TASKS else 1
 
     def partial(batches):
         total = None
@@ -546,17 +549,20 @@ def _summed(rows: DataFrame, compute) -> np.ndarray:
                 part = compute(_matrix(pdf["x"]))
                 total = part if total is None else total + part
         if total is not None:
-            yield pd.DataFrame({"part": [TaskContext.get().partitionId() % groups], "v": [np.asarray(total, float).tobytes()]})
+            at = TaskContext.get().partitionId()
+            yield pd.DataFrame({"part": [at % groups], "at": [at], "v": [np.asarray(total, float).tobytes()]})
 
     def added(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(v, float) for v in pdf["v"])
-        return pd.DataFrame({"v": [total.tobytes()]})
-
-    sums = rows.mapInPandas(partial, "part int, v binary")
-    if tasks > FEW_TASKS:
-        sums = sums.groupBy("part").applyInPandas(added, "v binary")
-    sums = sums.collect()
-    return sum(np.frombuffer(r["v"], float) for r in sums)
+        total = sum(np.frombuffer(v, float) for v in pdf.sort_values("at")["v"])
+        return pd.DataFrame({"part": [0], "at": [pdf["part"].iloc[0]], "v": [total.tobytes()]})
+
+    schema = "part int, at int, v binary"
+    sums = rows.mapInPandas(partial, schema)
+    if groups > 1 or tasks * size > FEW_NUMBERS:
+        sums = sums.groupBy("part").applyInPandas(added, schema)
+    if groups > 1:
+        sums = sums.groupBy("part").applyInPandas(added, schema)
+    return sum(np.frombuffer(r["v"], float) for r in sums.collect())
 
 
 def refine(

@@ -150,7 +150,8 @@ def fit_mixtures(
                     moments, logs = moments + _moments(part, share, upper), logs + own.sum(0)
                 return np.concatenate([moments.ravel(), logs])
 
-            sums = _summed(rows, expect)
+            size = sum(len(state[c].weights) for c in active) * (1 + d + len(upper[0]))
+            sums = _summed(rows, expect, size)
             logs, table = sums[-len(active) :], sums[: -len(active)].reshape(-1, 1 + d + len(upper[0]))
             for c, log, start, end in zip(active, logs, [0, *rater.ends[:-1]], rater.ends, strict=True):
                 settled = (log - likelihood[c]) / n < tol
