@@ -185,6 +185,19 @@ def test_passages_at_the_least_similarity(spark):
     assert all(r["similarity"] >= 0.8 and r["source_id"] == d - 1 for d, r in got.items())
 
 
+def test_passage_of_few_frequent_seeds(spark):
+    runs = [[f"r{i}w{j}" for j in range(5 if i == 0 else 4)] for i in range(10)]
+
+    def text(parts, name):  # a word of its own between the parts
+        return " ".join(w for i, part in enumerate(parts) for w in [*([f"{name}x{i}"] if i else []), *part])
+
+    # all seeds are in 22 texts, but the runs follow each other backwards in twenty of them
+    docs = [(n, text(runs[::-1], f"n{n}")) for n in range(20)]
+    docs += [(100, text(runs, "a")), (200, text(runs, "b"))]
+    got = chaining.passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["source_id"], r["start"], r["end"]) for r in got if r["doc_id"] >= 100] == [(200, 100, 0, 50)]
+
+
 def test_many_copies_make_few_matches(spark):
     rng = random.Random(4)
     text = " ".join(_prose(rng, 120))
