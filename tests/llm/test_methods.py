@@ -397,3 +397,50 @@ def test_passages_of_few_rare_and_few_frequent_seeds(spark):
     docs += [(100, text(runs, "a")), (200, text(runs, "b"))]
     got = chaining.passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert [(r["doc_id"], r["source_id"], r["start"], r["end"]) for r in got] == [(200, 100, 0, 50)]
+
+
+def _seed_rows(texts):
+    return [(key, doc, at) for doc, keys in texts.items() for at, key in enumerate(keys) if key is not None]
+
+
+def _in_common(a, b):
+    return sum(min(a.count(k), b.count(k)) for k in set(a) - {None})
+
+
+def test_rare_pairs_count_frequent_seeds_near_the_rare_ones(spark):
+    rng = random.Random(5)
+    texts = {doc: [rng.choice([None, *range(40)]) for _ in range(400)] for doc in range(12)}
+    ends = {(d, s): (rng.randrange(350), rng.randrange(350)) for d in range(12) for s in range(d)}
+    rows = [(d, s, 1 + (d + s) % 4, p, p + 5, q, q + 5) for (d, s), (p, q) in ends.items()]
+    pairs = spark.createDataFrame(rows, f"doc_id long, source_id long, hits long, {seeds.PLACES}")
+    frequent = spark.createDataFrame(_seed_rows(texts), "key long, doc_id long, at int")
+    left = frequent.where("at % 2 = 0 and doc_id <> 3")
+    want = set()
+    for d, s, hits, low, high, source_low, source_high in rows:
+        near = [k if at % 2 == 0 and d != 3 else None for at, k in enumerate(texts[d])]
+        near = near[max(0, low - seeds.SPAN) : high + seeds.SPAN + 1]
+        source = texts[s][max(0, source_low - 2 * seeds.SPAN) : source_high + 2 * seeds.SPAN + 1]
+        if hits + _in_common(near, source) >= seeds.MIN_HITS:
+            want.add((d, s))
+    got = chaining._mixed(pairs, left, frequent)
+    assert 0 < len(want) < len(rows)
+    assert {tuple(r) for r in got.collect()} == want
+    # no row for each seed of a pair
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    assert chaining._mixed(pairs.limit(0), left, frequent).count() == 0
+    assert chaining._mixed(pairs, left.limit(0), frequent).count() == 0
+
+
+def test_seeds_of_very_many_texts_form_no_pairs_alone(spark):
+    rng = random.Random(6)
+    hot = list(range(10))
+    texts = {doc: hot + [100 + rng.randrange(30) for _ in range(rng.choice([10, 25]))] for doc in range(60)}
+    texts |= {doc: hot + [1000 * doc + i for i in range(20)] for doc in range(100, 160)}
+    frequent = spark.createDataFrame(_seed_rows(texts), "key long, doc_id long, at int")
+    counted = chaining._seeds(frequent)
+    got = chaining._meeting(frequent, chaining._sources(counted))
+    want = {(a, b) for a in texts for b in texts if a > b and _in_common(texts[a], texts[b]) >= seeds.MIN_HITS}
+    assert want and {tuple(r) for r in got.collect()} == want
+    likely = chaining._together(chaining._telling(counted), chaining._sources(counted), seeds.MIN_HITS - chaining.OFTEN)
+    assert want <= {tuple(r) for r in likely.collect()}
+    assert likely.where("doc_id >= 100").count() == 0
