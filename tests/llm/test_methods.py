@@ -198,6 +198,16 @@ def test_passage_of_few_frequent_seeds(spark):
     assert [(r["doc_id"], r["source_id"], r["start"], r["end"]) for r in got if r["doc_id"] >= 100] == [(200, 100, 0, 50)]
 
 
+def test_words_are_counted_for_copied_texts_only(spark):
+    rng = random.Random(14)
+    texts = [" ".join(_prose(rng, n)) for n in (49, 50, 60)]
+    df = spark.createDataFrame([(i, texts[i % 3]) for i in range(6)] + [(9, texts[1] + " x")], "doc_id long, text string")
+    left, found = chaining._copies(df.selectExpr("*", "xxhash64(text) text_hash", "xxhash64(text, 1) second"))
+    assert {(r["doc_id"], r["source_id"], r["end"]) for r in found.collect()} == {(4, 1, 50), (5, 2, 60)}
+    assert sorted(r["doc_id"] for r in left.collect()) == [0, 1, 2, 9]
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_many_copies_make_few_matches(spark):
     rng = random.Random(4)
     text = " ".join(_prose(rng, 120))
@@ -243,6 +253,36 @@ def test_common_runs_of_repeats():
     assert any(end - start >= 400 and alike >= 0.9 for start, end, _, _, alike in found)
 
 
+def _may_by_brute_force(a, b):
+    share = lambda x, y: any(
+        5 * sum(w in y for w in x[i:j]) >= 4 * (j - i) for i in range(len(x)) for j in range(i + 50, len(x) + 1)
+    )
+    return share(a, set(b)) and share(b, set(a))
+
+
+def test_texts_without_a_common_stretch_are_not_aligned(monkeypatch):
+    rng = random.Random(17)
+    seen = set()
+    for case in range(120):
+        n = rng.choice([10, 49, 50, 51, 70])
+        passage = _prose(rng, n)
+        edited = [f"other{i}" if rng.random() < rng.choice([0, 0.15, 0.3]) else w for i, w in enumerate(passage)]
+        sides = [[*_prose(rng, rng.choice([0, 30])), *x, *_prose(rng, rng.choice([0, 30]))] for x in (passage, edited)]
+        a, b = (chaining.Text(" ".join(x)) for x in sides)
+        may = chaining.may_have_passage(a, b)
+        assert may == _may_by_brute_force(a.words, b.words)
+        assert may or not list(chaining._alike(a.words, b.words, chaining.common_runs(a, b)[:1] or [(0, 0)]))
+        seen.add(may)
+    assert seen == {True, False}
+    assert not chaining.may_have_passage(chaining.Text(""), a) and not chaining.passages_of(a, chaining.Text(" "))
+    # a line of thirty words in common costs no chain
+    line = _prose(rng, 30)
+    a, b = (chaining.Text(" ".join(_prose(rng, 80) + line + _prose(rng, 80))) for _ in range(2))
+    assert chaining.common_runs(a, b)
+    monkeypatch.setattr(chaining, "common_runs", None)
+    assert chaining.passages_of(a, b) == []
+
+
 def test_packed_columns_round_trip():
     rng = np.random.default_rng(1)
     columns = [rng.integers(-(2**62), 2**62, 50), np.arange(0), np.arange(300), np.zeros(4, np.int64)]
