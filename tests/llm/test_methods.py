@@ -283,6 +283,13 @@ def test_texts_without_a_common_stretch_are_not_aligned(monkeypatch):
     assert chaining.passages_of(a, b) == []
 
 
+def test_words_of_a_compared_text():
+    text = "\u00a0Ab\u00c4 ab\u00e4\tAB\x0bab\x0c\r\n\x1cab \u2003x\x85 \x00 "
+    got = chaining.Text(text).words
+    want = words.split_words(pa.array([text], pa.large_string())).hash.tolist()
+    assert len(got) == len(want) and [got.index(w) for w in got] == [want.index(w) for w in want]
+
+
 def test_packed_columns_round_trip():
     rng = np.random.default_rng(1)
     columns = [rng.integers(-(2**62), 2**62, 50), np.arange(0), np.arange(300), np.zeros(4, np.int64)]
