@@ -49,3 +49,13 @@ def test_merged_sketches_equal_those_of_all_rows(spark):
     assert by_quarter["few"] == at_once["few"]
     assert by_quarter["many"]["distinct"] == pytest.approx(at_once["many"]["distinct"], rel=0.02)
     assert auditing.merged_distinct(auditing.distinct_sketches(rows.where("false"), COLUMNS, "q")).count() == 0
+
+
+def test_every_column_is_counted_by_itself(spark):
+    rows = _rows(spark, "a", 0, 50).unionByName(_rows(spark, "b", 0, 50))
+    rows = rows.unionByName(rows.limit(1).withColumns({n: F.lit("") for n in COLUMNS}))
+    out = auditing.exact_distinct(rows, COLUMNS)
+    # no rows are unfolded into cells, so one column's many values don't share a table with another's few
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["column"]: r["distinct"] for r in out.collect()} == {"many": 51, "few": 6, "blank": 2, "never": 1}
+    assert auditing.exact_distinct(rows.where("false"), COLUMNS).count() == 0
