@@ -59,3 +59,9 @@ def test_every_column_is_counted_by_itself(spark):
     assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
     assert {r["column"]: r["distinct"] for r in out.collect()} == {"many": 51, "few": 6, "blank": 2, "never": 1}
     assert auditing.exact_distinct(rows.where("false"), COLUMNS).count() == 0
+
+
+def test_sketches_take_the_hash_of_the_text(spark):
+    df = spark.createDataFrame([("a", ""), ("a", "x"), ("a", "x"), ("a", None)], "q string, v string")
+    mine = auditing.distinct_sketches(df, ["v"], "q").first()["sketch"]
+    assert mine == df.where("v is not null").agg(F.hll_sketch_agg(F.xxhash64("v"), 14)).first()[0]
