@@ -210,8 +210,14 @@ LABELLED_CTE = (
 )
 
 
-def labelled(spark, sf):
-    return fx.loan_table(spark, sf).selectExpr("*", *[f"cast({e} as int) AS {n}" for n, e in _RULES.items()])
+#: Columns that the labels are made of.
+_RULED = ["max_delinquency_status", "stratum", "ever_d90", "is_default", "months_delinquent_30plus"]
+
+
+def labelled(spark, sf, *columns):
+    """The labelled loans; with ``columns`` only these, the labels and what they are made of."""
+    loans = fx.loan_table(spark, sf, *dict.fromkeys([*columns, *_RULED])) if columns else fx.loan_table(spark, sf)
+    return loans.selectExpr("*", *[f"cast({e} as int) AS {n}" for n, e in _RULES.items()])
 
 
 def _agreement_sql() -> str:

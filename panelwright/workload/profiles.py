@@ -148,7 +148,7 @@ _BOX = ["borrower_credit_score", "orig_ltv", "months_delinquent_30plus", "orig_u
     ),
 )
 def m49(spark, sf):
-    out = profiles.five_numbers(labelled(spark, sf), C, _BOX)
+    out = profiles.five_numbers(labelled(spark, sf, *_BOX), C, _BOX)
     return out.withColumns({n: F.round(n, 4) for n in ("min", "p25", "p50", "p75", "max")})
 
 

@@ -8,7 +8,7 @@ from panelwright.operators import clustering, features
 from panelwright.presets import mortgage
 from panelwright.sources import sinks
 from panelwright.workload import fixture as fx
-from panelwright.workload import ingest
+from panelwright.workload import clusters, ingest
 
 
 def _plan(df):
@@ -67,3 +67,9 @@ def test_sweep_over_few_vectors(spark):
     rows = features.assemble(spark.createDataFrame(points, "a double, b double"), ["a", "b"])
     fits = clustering.kmeans_fits(rows, [3], starts=3)
     assert sorted(round(c[1]) for c in fits[3].centres) == [0, 1, 2]
+
+
+def test_labelled_loans_of_some_columns(spark):
+    some = clusters.labelled(spark, DATA, "orig_ltv")
+    assert some.columns == ["orig_ltv", *clusters._RULED, *clusters.LABELS.values()]
+    assert sorted(some.collect(), key=str) == sorted(clusters.labelled(spark, DATA).select(*some.columns).collect(), key=str)
