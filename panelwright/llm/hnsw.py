@@ -1,7 +1,8 @@
 """Near-duplicate vectors with hierarchical navigable small-world graphs.
 
 Equal vectors of a label are one class. The classes of a label are dealt into shards of about SHARD vectors, a graph is built for
-each shard, and the vectors of every shard of the label, in blocks, query every shard. A beam is widened for a query
+each shard, and the vectors of every shard of the label, in blocks, query every shard. Queries whose cosines a bound over some of
+the coordinates keeps below the threshold for all of a shard have no links there and don't walk its graph. A beam is widened for a query
 while all it holds is over the threshold, and for a whole block while an audit of some of its queries
 against brute force finds less than RECALL of their links. Candidates are verified by cosine in double precision.
 """
@@ -29,6 +30,10 @@ RECALL = 0.999
 AUDIT = 20
 #: Queries that walk a graph together.
 TOGETHER = 256
+#: Coordinates that bound a cosine from above at least, of few components; of many, three in eight.
+HEAD = 24
+#: Shards that query in one task, at most; each of the label's graphs is sent to as many tasks as this makes.
+ASKED = 16
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -198,13 +203,34 @@ class Graph:
         return np.concatenate(rows), np.concatenate(columns)
 
 
+def may_link(exact: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Which unit queries may have a cosine of THRESHOLD or more with any of the unit vectors.
+
+    A product is at most that of some coordinates and the product of the lengths of the rest (Cauchy-Schwarz). The coordinates
+    are those that vary most among the vectors; rounding only lets a query pass."""
+    head = np.argsort(-exact.var(axis=0))[: max(HEAD, 3 * exact.shape[1] // 8)]
+
+    def bounding(x: np.ndarray) -> np.ndarray:
+        part = x[:, head]
+        rest = np.sqrt(np.maximum(0, 1 - np.einsum("md,md->m", part, part)))
+        return np.concatenate([part, rest[:, None]], axis=1).astype(np.float32)
+
+    own, asked = bounding(exact).T, bounding(queries)
+    found = [(asked[at : at + TOGETHER] @ own).max(axis=1) for at in range(0, len(asked), TOGETHER)]
+    return np.concatenate(found) >= THRESHOLD - 1e-4
+
+
 def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, audited: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(query, vector) pairs of unit vectors with a cosine of THRESHOLD or more. ``audited`` queries are compared with all
     vectors of the graph, and the first beam is doubled until RECALL of their links is found."""
     beam = BEAM
-    truth = queries[audited] @ exact.T >= THRESHOLD
+    near = np.flatnonzero(may_link(exact, queries))
+    if not len(near):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    truth = queries[np.intersect1d(audited, near)] @ exact.T >= THRESHOLD
     while True:
-        q, v = graph.over(queries.astype(np.float32), THRESHOLD - 1e-5, beam)
+        q, v = graph.over(queries[near].astype(np.float32), THRESHOLD - 1e-5, beam)
+        q = near[q]
         good = np.einsum("md,md->m", queries[q], exact[v]) >= THRESHOLD
         q, v = q[good], v[good]
         mine = np.isin(q, audited)
@@ -213,14 +239,14 @@ def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, audited: np.ndar
         beam *= 2
 
 
-_SHARD = "label {}, dim long, shard long, ids binary, vectors binary, near binary, layers int"
+_SHARD = "label {}, dim long, shard long, shards long, ids binary, vectors binary, near binary, layers int"
 
 
 def shards(classes: DataFrame) -> DataFrame:
     """One row per shard of a label and dimension: ids, vectors and graph as bytes."""
     sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / SHARD).alias("shards"))
     dealt = classes.join(sizes, ["label", "dim"]).select(
-        "label", "dim", F.pmod(F.xxhash64("least"), F.col("shards")).alias("shard"), "least", "embedding"
+        "label", "dim", F.pmod(F.xxhash64("least"), F.col("shards")).alias("shard"), "shards", "least", "embedding"
     )
     kind = classes.schema["label"].dataType.simpleString()
 
@@ -232,6 +258,7 @@ def shards(classes: DataFrame) -> DataFrame:
             "label": pa.array([key[0].as_py()], key[0].type),
             "dim": [vectors.shape[1]],
             "shard": [key[2].as_py()],
+            "shards": [key[3].as_py()],
             "ids": [table.column("least").to_numpy().astype(np.int64).tobytes()],
             "vectors": [vectors.tobytes()],
             "near": [np.stack(graph.near).astype(np.int32).tobytes()],
@@ -239,7 +266,7 @@ def shards(classes: DataFrame) -> DataFrame:
         }
         return pa.table(row)
 
-    grouped = dealt.groupBy("label", "dim", "shard")
+    grouped = dealt.groupBy("label", "dim", "shard", "shards")
     return grouped.applyInArrow(build, _SHARD.format(kind))
 
 
@@ -273,8 +300,11 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     )
     classes = stored(classes, "vector_classes")
     index = stored(shards(classes), "vector_graphs")
-    asking = index.select("label", "dim", F.col("ids").alias("asked"), F.col("vectors").alias("queries"))
-    meet = index.join(asking.hint("merge"), ["label", "dim"]).select("ids", "vectors", "near", "layers", "asked", "queries")
+    turn = F.floor(F.col("shard") / ASKED).alias("turn")
+    asking = index.select("label", "dim", turn, F.col("ids").alias("asked"), F.col("vectors").alias("queries"))
+    turns = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("shards") - 1) / ASKED)))
+    meet = index.withColumn("turn", turns).join(asking.hint("merge"), ["label", "dim", "turn"])
+    meet = meet.select("ids", "vectors", "near", "layers", "asked", "queries")
     found = meet.mapInArrow(_search, "u long, v long")
     # either direction of a link may have been found
     pairs = found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()

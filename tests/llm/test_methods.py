@@ -418,6 +418,34 @@ def test_graph_finds_what_brute_force_finds():
     assert truth * 0.99 <= len(q) <= truth
 
 
+def test_queries_that_no_vector_is_near_to_walk_no_graph(monkeypatch):
+    rng = np.random.default_rng(9)
+    u = hnsw.unit(rng.normal(size=(500, 64)))
+    near = hnsw.unit(u[:20] + 0.005 * rng.normal(size=(20, 64)))
+    asked = np.concatenate([hnsw.unit(rng.normal(size=(480, 64))), near])
+    linked = np.flatnonzero((asked @ u.T >= hnsw.THRESHOLD).any(axis=1))
+    assert set(linked) <= set(np.flatnonzero(hnsw.may_link(u, asked)))
+    walked = []
+    over = hnsw.Graph.over
+    monkeypatch.setattr(hnsw.Graph, "over", lambda self, q, *more: walked.append(len(q)) or over(self, q, *more))
+    q, v = hnsw.links(hnsw.Graph(u), u, asked, np.arange(0, len(asked), 20))
+    assert sorted(zip(q, v)) == sorted(zip(*np.nonzero(asked @ u.T >= hnsw.THRESHOLD)))
+    assert sum(walked) < 100
+    assert [len(x) for x in hnsw.links(hnsw.Graph(u), u, asked[:50], np.arange(3))] == [0, 0]
+
+
+def test_all_shards_meet_in_several_turns(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD", 20)
+    monkeypatch.setattr(hnsw, "ASKED", 4)
+    rng = np.random.default_rng(10)
+    x = np.repeat(rng.normal(size=(100, 8)), 3, axis=0) + 0.02 * rng.normal(size=(300, 8))
+    df = spark.createDataFrame([(i, 1, y) for i, y in enumerate(x.tolist())], "vec_id long, label int, embedding array<double>")
+    u = hnsw.unit(x)
+    truth = (u @ u.T >= hnsw.THRESHOLD).sum(axis=1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in hnsw.near_duplicates(df).collect()}
+    assert got == dict(enumerate(truth.tolist()))
+
+
 def test_labellers_learn_who_is_right():
     rng = np.random.default_rng(0)
     good = rng.random(4000) < 0.8
