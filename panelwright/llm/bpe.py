@@ -31,7 +31,7 @@ LONG = 512
 #: Tree cells that are worked on together.
 CELLS = 4_000_000
 #: Distinct pieces of text that a Python task remembers.
-CACHE = 500_000
+CACHE = 200_000
 
 
 def byte_alphabet() -> dict[int, str]:

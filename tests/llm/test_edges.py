@@ -1,11 +1,12 @@
 """Nulls, empty and very long texts, repeated rows, clashing columns and empty tables for every operator and stage."""
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelwright.llm import bpe, chaining, chat, hnsw, language, line_rules, packing, pii, quality, simhash
+from panelwright.llm import bpe, chaining, chat, common, hnsw, language, line_rules, packing, pii, quality, simhash
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ROWS = [
@@ -109,3 +110,30 @@ def test_turns(spark):
     assert got[3]["formatted"] == "<|user|>b</s><|user|>b</s><|assistant|></s>"
     assert got[None]["formatted"] == "<||></s><|user|>a</s>"
     assert chat.conversations(chat.tree_of_turns(df.limit(0))).count() == 0
+
+
+def test_texts_go_to_python_in_batches_of_few_bytes(spark):
+    seen = common.map_rows(
+        spark.range(3000).selectExpr("id", "repeat('words and ', 1000) AS text").repartition(1),
+        lambda batch: {"n": [batch.nbytes] * batch.num_rows},
+        "n long",
+    )
+    assert seen.agg(F.max("n")).first()[0] < 8_000_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == common.BATCH_BYTES
+
+
+def test_worker_gives_memory_back(spark):
+    def run(batches):
+        list(batches)
+        held = [bytes(100_000) for _ in range(3000)]  # below the size of blocks that go back by themselves
+        last, held = held[-1], None
+        if give:
+            common.give_back()
+        with open("/proc/self/statm") as f:
+            yield pa.RecordBatch.from_pydict({"mb": [int(f.read().split()[1]) * 4096 // 1_000_000]})
+        del last
+
+    found = []
+    for give in (False, True):
+        found.append(spark.range(1).repartition(1).mapInArrow(run, "mb long").first()[0])
+    assert found[1] < found[0] - 100
